@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from rasterloom.llm.langid import op9_language_id
+from rasterloom.llm.mixing import op3_mixing
+from rasterloom.llm.packing import op5_packing
+from rasterloom.llm.quality import op1_quality_rules
 from rasterloom.llm.simhash import op7_simhash
 
-QUERIES = {f.__name__: f for f in (op7_simhash,)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_mixing, op5_packing, op7_simhash, op9_language_id)}
 ORACLE_SQL: dict[str, str] = {}
