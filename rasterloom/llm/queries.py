@@ -6,7 +6,20 @@ from rasterloom.llm.langid import op9_language_id
 from rasterloom.llm.mixing import op3_mixing
 from rasterloom.llm.packing import op5_packing
 from rasterloom.llm.quality import op1_quality_rules
+from rasterloom.llm.secrets import op6_secrets
 from rasterloom.llm.simhash import op7_simhash
+from rasterloom.llm.toxicity import op10_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op3_mixing, op5_packing, op7_simhash, op9_language_id)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_rules,
+        op3_mixing,
+        op5_packing,
+        op6_secrets,
+        op7_simhash,
+        op9_language_id,
+        op10_toxicity,
+    )
+}
 ORACLE_SQL: dict[str, str] = {}
