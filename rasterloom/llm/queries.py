@@ -5,6 +5,7 @@ from __future__ import annotations
 from rasterloom.llm.langid import op9_language_id
 from rasterloom.llm.mixing import op3_mixing
 from rasterloom.llm.packing import op5_packing
+from rasterloom.llm.pii import op2_pii
 from rasterloom.llm.quality import op1_quality_rules
 from rasterloom.llm.secrets import op6_secrets
 from rasterloom.llm.simhash import op7_simhash
@@ -14,6 +15,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules,
+        op2_pii,
         op3_mixing,
         op5_packing,
         op6_secrets,
