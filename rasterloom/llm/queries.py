@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from rasterloom.llm.langid import op9_language_id
+from rasterloom.llm.lattice import op4_lattice
 from rasterloom.llm.mixing import op3_mixing
 from rasterloom.llm.packing import op5_packing
 from rasterloom.llm.pii import op2_pii
@@ -17,6 +18,7 @@ QUERIES = {
         op1_quality_rules,
         op2_pii,
         op3_mixing,
+        op4_lattice,
         op5_packing,
         op6_secrets,
         op7_simhash,
