@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from rasterloom.llm.langid import op9_language_id
 from rasterloom.llm.lattice import op4_lattice
+from rasterloom.llm.maxent import op8_maxent
 from rasterloom.llm.mixing import op3_mixing
 from rasterloom.llm.packing import op5_packing
 from rasterloom.llm.pii import op2_pii
@@ -22,6 +23,7 @@ QUERIES = {
         op5_packing,
         op6_secrets,
         op7_simhash,
+        op8_maxent,
         op9_language_id,
         op10_toxicity,
     )
