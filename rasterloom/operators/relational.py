@@ -48,7 +48,7 @@ def without_last(df: DataFrame, group: str, order: list[str], n: int = 2) -> Dat
 
 
 def positions(df: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """Adds ``pos`` from 0 and ``n`` in each group.
+    """Adds ``pos``, from 0 in each group, and ``group_size``.
 
     A numeric first key is cut into range buckets whose counts are summed up, so no group is ranked in one task.
     """
@@ -62,7 +62,7 @@ def positions(df: DataFrame, group: str, order: list[str]) -> DataFrame:
         F.col(group).alias("__g"),
         F.col("__b").alias("__k"),
         F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__base"),
-        F.sum("__c").over(Window.partitionBy(group)).alias("n"),
+        F.sum("__c").over(Window.partitionBy(group)).alias("group_size"),
     )
     rank = F.row_number().over(Window.partitionBy(group, "__b").orderBy(*order)) - 1
     df = df.withColumn("__r", rank)
@@ -73,8 +73,8 @@ def positions(df: DataFrame, group: str, order: list[str]) -> DataFrame:
 def chunks(df: DataFrame, group: str, order: list[str], parts: int, rounding: str = "ceil") -> DataFrame:
     """Adds ``chunk``: runs of ceil(n / parts) rows of a group, or of max(1, floor(n / parts)), the last one shorter."""
     df = positions(df, group, order)
-    size = F.ceil(F.col("n") / parts) if rounding == "ceil" else F.greatest(F.lit(1), F.floor(F.col("n") / parts))
-    return df.withColumn("chunk", F.floor(F.col("pos") / size).cast("int"))
+    size = F.ceil(F.col("group_size") / parts) if rounding == "ceil" else F.greatest(F.lit(1), F.floor(F.col("group_size") / parts))
+    return df.withColumn("chunk", F.floor(F.col("pos") / size).cast("int")).drop("pos", "group_size")
 
 
 def grid(df: DataFrame, **axes: list) -> DataFrame:

@@ -30,9 +30,15 @@ def suffix(name: Column) -> Column:
     return F.lower(F.regexp_extract(name, r"(\.[^./]*)$", 1))
 
 
+def one_slash(path: Column) -> Column:
+    """Local paths in one spelling; Spark's sources differ in how many slashes follow the scheme."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
 def files(spark: SparkSession, root: str, contents: bool = False) -> DataFrame:
     """All files below ``root``, every folder down, with path parts; contents are read only if asked for."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    found = found.withColumn("path", one_slash(F.col("path")))
     columns = ["path", "length", "modificationTime", *(["content"] if contents else [])]
     return with_path_parts(found.select(*columns))
 
@@ -53,7 +59,7 @@ def images(spark: SparkSession, root: str) -> DataFrame:
     found = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(root)
     valid = F.col("image.width") > 0
     return found.select(
-        F.col("image.origin").alias("path"),
+        one_slash(F.col("image.origin")).alias("path"),
         F.col("image.height").alias("height"),
         F.col("image.width").alias("width"),
         F.col("image.nChannels").alias("channels"),
