@@ -99,7 +99,10 @@ class Model:
             made[:, 0] = -1
             starts.append(sum(map(len, tables)))
             tables.append(np.where(made < 0, -1, made + starts[-1]))
-        self.table = np.concatenate(tables).ravel() if tables else np.empty(0, np.int32)
+        #: The last state has no transitions: it follows a character that no phrase begins with.
+        tables.append(np.full((1, len(self.codes) + 1), -1, np.int32))
+        self.dead = sum(map(len, tables)) - 1
+        self.table = np.concatenate(tables).ravel()
         self.starts = np.array(starts, np.int64)
         self.bits = np.array([np.log2(max(2, len(joined[k]))) for k in self.languages])
         self.lookup = _classes(self.codes)
@@ -156,7 +159,7 @@ class Model:
             if step:
                 count[:live] += missed
             again = self.table[home[None, :] + code]
-            found = np.where(missed, np.where(again < 0, self.starts[None, :], again), found)
+            found = np.where(missed, np.where(again < 0, self.dead, again), found)
             state[:live] = found.astype(np.int64) * classes
         return count
 
