@@ -53,7 +53,8 @@ class WordIds(dict):
     def __missing__(self, word: bytes) -> bytes:
         text = word.decode("utf-8", "replace")
         core = text.rstrip(".,")
-        if core != text and core and core[-1].isalnum():
+        # Normalising can end a letter beyond these in a mark, which would go with the full stop.
+        if core != text and core and core[-1].isalnum() and core[-1] < "İ":
             found = self.piece(core) + self.piece(text[len(core) :])
         else:
             found = self.piece(text)
