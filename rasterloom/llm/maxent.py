@@ -329,8 +329,8 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             score = np.bincount(owner, chosen / math.log(10), len(starts))
             often = np.flatnonzero(places >= 0)
             seen = m.known.counts[places[often]] if often.size else np.empty(0, np.int64)
-            base = np.bincount(owner[often], m.base(seen), len(starts))
-            score += np.bincount(owner[often], m.within(seen, classes[often]), len(starts))
+            base = np.bincount(owner[often], m.base(seen), len(starts)).astype(float)
+            score += np.bincount(owner[often], m.within(seen, classes[often]), len(starts)).astype(float)
             known = np.bincount(owner[often], minlength=len(starts))
             total = np.bincount(owner, minlength=len(starts))
             row = number + np.arange(len(starts))
