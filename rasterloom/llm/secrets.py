@@ -125,7 +125,7 @@ def spans(text: str | None, min_guesses: float = MIN_GUESSES) -> tuple[list[Span
             value = m[3]
             if m[2]:
                 value = value.split(m[2], 1)[0]
-            value = value.rstrip(".,;:!?)]}>\"'")
+            value = value.rstrip(".,;:)]}>\"'")
             start, end = m.start(3), m.start(3) + len(value)
             taken = any(s.start < end and start < s.end for s in base)
             if not taken and len(value) >= 6 and guess_cost(value) >= min_guesses and not value.isalpha():
