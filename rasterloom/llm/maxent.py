@@ -39,9 +39,9 @@ RATE = 0.3
 BATCH = 1 << 12
 #: Slices in which tasks hand on their weights.
 SLICES = 64
-_CACHE = 500_000
+_CACHE = 200_000
 _SALTS = 8
-_TOKENS = 1 << 17
+_TOKENS = 1 << 15
 END = 1  # the hash of the end of a text
 #: Low bits of a word's hash that its ending decides.
 _ENDING = 10
@@ -116,7 +116,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
             found = [tokens(t) for t in batch.column("text").to_pylist()]
             held += found
             size += sum(map(len, found))
-            if size > 1 << 22:
+            if size > 1 << 21:
                 yield flushed()
                 held, size = [], 0
         yield flushed()
