@@ -21,6 +21,8 @@ from rasterloom.llm.common import remainder, remainder_column, sub_batches, tabl
 SAMPLE_DOCS = 200
 SAMPLE_DOC_CHARS = 4000
 SAMPLE_CHARS = 60_000
+#: Characters of all languages together, which bounds the broadcast table; many languages share them evenly.
+TOTAL_CHARS = 400_000
 MAX_LANGUAGES = 500
 #: Characters with a class of their own; the rest are one class, which no sample contains.
 ALPHABET = 120
@@ -85,7 +87,8 @@ class Model:
 
     def __init__(self, samples: dict[str, list[str]]) -> None:
         self.languages = sorted(samples)
-        joined = {k: "  ".join(normalised(t) for t in v)[:SAMPLE_CHARS] for k, v in samples.items()}
+        most = min(SAMPLE_CHARS, TOTAL_CHARS // max(1, len(samples)))
+        joined = {k: "  ".join(normalised(t) for t in v)[:most] for k, v in samples.items()}
         counts: dict[str, int] = {}
         for text in joined.values():
             for c in text:
