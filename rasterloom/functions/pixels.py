@@ -27,10 +27,9 @@ def hsv(b: Column, g: Column, r: Column) -> tuple[Column, Column, Column]:
         .when(top == g, 120.0 + 60.0 * (b - r) / span)
         .otherwise(240.0 + 60.0 * (r - g) / span)
     )
-    angle = F.when(angle < 0, angle + 360.0).otherwise(angle)
-    hue = F.floor(angle / 2.0 + 0.5).cast("int")
+    hue = F.pmod(F.floor(F.pmod(angle, F.lit(360.0)) / 2.0 + 0.5), F.lit(180)).cast("int")
     saturation = F.when(top == 0, 0).otherwise(F.floor(255.0 * span / top + 0.5).cast("int"))
-    return F.when(hue >= 180, hue - 180).otherwise(hue), saturation, top
+    return hue, saturation, top
 
 
 def in_range(channels: tuple[Column, Column, Column], low: tuple, high: tuple) -> Column:

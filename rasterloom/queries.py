@@ -14,6 +14,7 @@ from rasterloom import config
 from rasterloom.functions import geometry as geo
 from rasterloom.functions import pixels as px
 from rasterloom.operators import relational as rel
+from rasterloom.operators import tiles
 from rasterloom.plans.pipeline import calibrations
 from rasterloom.plans.ppi import ppi_by_folder
 
@@ -50,17 +51,24 @@ def query(sql: str | None):
 
 
 def images(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """vec_id, label, gs: the 64 gray values of each stand-in image."""
+    """vec_id, label, gs: the 64 gray values of each stand-in image.
+
+    The explode of one element keeps the optimizer from copying the expression into each use of a pixel.
+    """
     value = lambda v: px.quantise((v.cast("double") + 0.6) / 1.2)
-    return _t(spark, sf_dir, "embeddings").select("vec_id", "label", F.transform("embedding", value).alias("gs"))
+    return _t(spark, sf_dir, "embeddings").select("vec_id", "label", F.explode(F.array(F.transform("embedding", value))).alias("gs"))
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """vec_id, label, i, y, x and the channels b, g, r of each pixel."""
-    rows = images(spark, sf_dir).select("vec_id", "label", "gs", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("i"))
-    at = lambda k: F.element_at("gs", (F.col("i") + k) % 64 + 1)
-    y, x = F.floor(F.col("i") / 8).cast("int"), F.col("i") % 8
-    return rows.select("vec_id", "label", "i", y.alias("y"), x.alias("x"), at(0).alias("b"), at(21).alias("g"), at(42).alias("r"))
+
+    def pixel(i):
+        channel = lambda k: F.element_at("gs", (i + k) % 64 + 1)
+        y = F.floor(i / 8).cast("int").alias("y")
+        return F.struct(i.alias("i"), y, (i % 8).alias("x"), channel(0).alias("b"), channel(21).alias("g"), channel(42).alias("r"))
+
+    every = F.transform(F.sequence(F.lit(0), F.lit(63)), pixel)
+    return images(spark, sf_dir).select("vec_id", "label", F.inline(every))
 
 
 def boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -563,3 +571,48 @@ def stage_machine(spark, sf_dir):
     v = F.col("value")
     failed = first_failure({"super_resolution": v >= 5, "validate_super_resolution": v >= 10, "downscale": v >= 15, "validate_downscale": v >= 20})
     return _t(spark, sf_dir, "events").select("event_id", failed.alias("failed_step"), failed.isNull().alias("success"))
+
+
+def _files(spark, sf_dir) -> DataFrame:
+    """The stand-in images as decoded image rows with three equal channels."""
+    data = F.unhex(F.array_join(F.transform("gs", lambda g: F.repeat(F.lpad(F.hex(g), 2, "0"), 3)), ""))
+    eight = F.lit(8)
+    rows = images(spark, sf_dir)
+    return rows.select(F.col("vec_id").cast("string").alias("path"), eight.alias("height"), eight.alias("width"), F.lit(3).alias("channels"), data.alias("data"))
+
+
+def _first_channel(rows: DataFrame) -> DataFrame:
+    """vec_id, y, x, v of image rows."""
+    rows = rows.select(F.col("path").cast("long").alias("vec_id"), "height", "width", F.hex("data").alias("bytes"))
+    rows = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("height") * F.col("width") - 1)))
+    value = F.conv(F.substring("bytes", F.col("i") * 6 + 1, F.lit(2)), 16, 10).cast("int")
+    return rows.select("vec_id", F.floor(F.col("i") / F.col("width")).cast("int").alias("y"), (F.col("i") % F.col("width")).alias("x"), value.alias("v"))
+
+
+@query(f"WITH {IMAGES_SQL} SELECT vec_id, y, x, gs[(y // 2) * 8 + x // 2 + 1] AS v FROM im, (SELECT CAST(range AS INTEGER) AS y FROM range(16)) a, (SELECT CAST(range AS INTEGER) AS x FROM range(16)) b")
+def sr_nearest(spark, sf_dir):
+    """Tiles of 4 with an overlap of 2, upscaled twice and blended, are the upscaled image again."""
+    return _first_channel(tiles.superresolved(_files(spark, sf_dir), tiles.nearest, 2, 4, 2))
+
+
+@query(f"WITH {IMAGES_SQL} SELECT vec_id, y // 2 AS y, x // 2 AS x, CAST(floor(sum(b) / 4.0::DOUBLE + 0.5::DOUBLE) AS INTEGER) AS v FROM px GROUP BY vec_id, y // 2, x // 2")
+def area_resize(spark, sf_dir):
+    rows = _files(spark, sf_dir).withColumns({"target_height": F.lit(4), "target_width": F.lit(4)})
+    return _first_channel(tiles.resized(rows, "area"))
+
+
+@query(None)
+def lanczos_resize(spark, sf_dir):
+    rows = _files(spark, sf_dir).withColumns({"target_height": F.lit(6), "target_width": F.lit(5)})
+    return _first_channel(tiles.resized(rows))
+
+
+@query(None)
+def contour_min_rect(spark, sf_dir):
+    """The smallest rectangle around the largest bright component of each stand-in image."""
+    from rasterloom.functions import kernels
+    from rasterloom.operators.images import measured
+
+    rects = measured(_files(spark, sf_dir), lambda image: kernels.measure_page(image, 150))
+    sides = [F.round(f(F.col("rect.w"), F.col("rect.h")), 6).alias(n) for f, n in ((F.greatest, "long_px"), (F.least, "short_px"))]
+    return rects.select(F.col("path").cast("long").alias("vec_id"), *sides, "error")
