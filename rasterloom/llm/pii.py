@@ -39,7 +39,7 @@ CARD_PREFIXES = "4|5[1-5]|2[2-7]|3[47]|6011|65"
 #: Fixed cue words before a span.
 CUES = "mail|contact|write|phone|tel|call|fax|mobile|cell|whatsapp|card|visa|iban|account|address|ssn|passport|reach"
 COUNTER_CUES = "isbn|issn|order|invoice|version|page|chapter|figure|table|item|serial|doi|art|vol"
-THRESHOLD = 0.5
+THRESHOLD = 0.9
 _CONTEXT = 24
 _ROUNDS = 50
 _EMPTY = "cast(array() as array<struct<start:int,end:int,s:string,before:string>>)"
