@@ -41,7 +41,7 @@ def remainder_column(doc_id: str, divisor: int):
     return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % divisor
 
 
-def sub_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def sub_batches(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Cuts Arrow batches so that each holds about ``limit`` bytes of ``column``, or one row."""
     for batch in batches:
         values = batch.column(column)

@@ -20,7 +20,7 @@ from rasterloom.llm.common import sub_batches, table
 LENGTH = 2048
 END_ID = 1
 #: Words that a Python worker remembers; the memory is emptied beyond it.
-CACHE = 500_000
+CACHE = 250_000
 SCHEMA = (
     "doc_id long, start long, length long, bucket int, ids binary, doc_tokens long, sequence_id long, offset long"
 )
@@ -124,7 +124,7 @@ def packed(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ids, number = word_ids(tokenizer), TaskContext.get().partitionId() << 40
-        for batch in sub_batches(batches, "text", 4 << 20):
+        for batch in sub_batches(batches, "text"):
             out: list[list] = [[] for _ in names]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = table_ids.ids(text) + end
