@@ -7,7 +7,6 @@ takes ``MIN_GUESSES`` decimal digits of guesses or more is taken for a secret ra
 
 from __future__ import annotations
 
-import hashlib
 import math
 import re
 from collections.abc import Iterator
@@ -194,10 +193,6 @@ def redacted(docs: DataFrame, min_guesses: float = MIN_GUESSES) -> DataFrame:
     return docs.mapInArrow(run, docs.schema)
 
 
-def sha256(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
-
-
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scanned(table(spark, sf_dir, "documents"))
     digest = F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256")

@@ -392,8 +392,10 @@ def test_toxicity(spark, docs, odd, empty):
     assert {r.score for r in toxicity.scored(docs, toxicity.fit(docs, none)).collect()} == {0.5}
 
 
-def test_digests(spark):
+@pytest.mark.parametrize(("name", "brute"), [("op2_pii", brute_pii), ("op6_secrets", brute_secrets)])
+def test_digests(spark, name, brute):
     import __spark_entry__
 
-    row = __spark_entry__.queries()["op6_secrets"](spark, SF).first()
-    assert re.fullmatch("[0-9a-f]{64}", row.base_sha256) and hashlib.sha256(b"").hexdigest()
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    found = __spark_entry__.queries()[name](spark, SF).collect()
+    assert {r.doc_id: r.base_sha256 for r in found} == {i: hashlib.sha256(brute(t).encode()).hexdigest() for i, t in texts.items()}
