@@ -392,6 +392,24 @@ def test_toxicity(spark, docs, odd, empty):
     assert {r.score for r in toxicity.scored(docs, toxicity.fit(docs, none)).collect()} == {0.5}
 
 
+def test_toxicity_learns_rare_words(spark):
+    """A word in 3 % of the toxic texts is learned where no clean text has it, a word as common in clean texts is not."""
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choices("abcdefgh", k=6))
+    filler = [word() for _ in range(2000)]
+    rows, marks = [], []
+    for i in range(4000):
+        toxic = i % 10 == 0
+        own = [f"rare{'xyzuvw'[i // 10 % 33 % 6]}"] if toxic and i // 10 % 33 < 6 else []
+        both = ["mixed"] if i // 10 % 20 == 0 else []
+        rows.append((i, " ".join([*rng.choices(filler, k=20), *own, *both]), "en", "a"))
+        marks.append((i, int(toxic)))
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    model = toxicity.fit(frame(spark, rows), labels)
+    assert {f"rare{c}" for c in "xyzuvw"} <= set(model.odds) and "mixed" not in model.odds
+    assert len(model.odds) < 20
+
+
 @pytest.mark.parametrize(("name", "brute"), [("op2_pii", brute_pii), ("op6_secrets", brute_secrets)])
 def test_digests(spark, name, brute):
     import __spark_entry__
