@@ -410,6 +410,18 @@ def test_toxicity_learns_rare_words(spark):
     assert len(model.odds) < 20
 
 
+def test_toxicity_restores_long_tokens():
+    bad = ("idiot", "moron", "loser", "scum", "stupid")
+    common = {w: 50 for w in "some clean words here and there with other letters to learn from".split()}
+    model = toxicity.Model({w: 3.0 for w in bad}, -2.0, toxicity.CharacterModel(common | {w: 500 for w in bad}))
+    spelt = "/".join("-".join(w) for w in bad)
+    assert len(spelt) > 40 and model.restored(spelt) == tuple(sorted(bad))
+    assert model.restored("idiot/moron") == ("idiot", "moron")
+    assert model.restored("st" + 40 * "u" + "pid") == ("stupid",)
+    assert model.restored("/".join([*["words"] * 200, "1d10t"])) == ("idiot",)
+    assert model.restored("x1" * 20_000) == ()
+
+
 @pytest.mark.parametrize(("name", "brute"), [("op2_pii", brute_pii), ("op6_secrets", brute_secrets)])
 def test_digests(spark, name, brute):
     import __spark_entry__
