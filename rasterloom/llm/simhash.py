@@ -14,7 +14,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rasterloom.llm.common import LOWER, checkpointed, sub_batches, table
@@ -49,15 +49,23 @@ def fingerprint(text: str | None, words: int = WORDS) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(starts)).tobytes(), "big", signed=True)
 
 
+def _hashes() -> dict[str, Column]:
+    """Two hashes of a text, which with its doc_id stand for a row."""
+    text = F.col("text").cast("string")
+    return {"__a": F.xxhash64(text), "__b": F.xxhash64(F.lit(1), text)}
+
+
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp long), a row for each row of ``docs``."""
+    """(doc_id, fp long, __a long, __b long), a row for each row of ``docs``; the last two are hashes of its text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, "text"):
             fps = pa.array([fingerprint(t, words) for t in batch.column("text").to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fps], ["doc_id", "fp"])
+            kept = {n: batch.column(n) for n in ("doc_id", "__a", "__b")}
+            yield pa.RecordBatch.from_arrays([*kept.values(), fps], [*kept, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *(c.alias(n) for n, c in _hashes().items()))
+    return rows.mapInArrow(run, "doc_id long, __a long, __b long, fp long")
 
 
 def forest(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,6 +143,11 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = WORD
     reach. Null and wordless texts have fingerprint 0 and link like any other; repeated rows each return; rows with a
     null doc_id take part, and their component_id is null only if no reached row has an id; an empty table returns none.
     """
+    return _grouped(docs, distance, words, blocks).select("doc_id", "fp", "component_id")
+
+
+def _grouped(docs: DataFrame, distance: int, words: int = WORDS, blocks: int = BLOCKS) -> DataFrame:
+    """:func:`near_duplicates` with the hashes of each row's text, and its component, which is null in no row."""
     rows = checkpointed(fingerprints(docs, words))
     least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
     groups = connected_components(links(least.select("fp"), distance, blocks))
@@ -142,19 +155,22 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = WORD
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
     ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = labelled.join(ids, "component").select("fp", "component_id")
-    return rows.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = labelled.join(ids, "component").select("fp", "component", "component_id")
+    return rows.join(classes, "fp").select("doc_id", "fp", "__a", "__b", "component", "component_id")
 
 
 def deduplicated(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the smallest of its component, one row for each doc_id, all columns kept.
+    """One row of ``docs`` for each component, all columns kept: that of the smallest doc_id, fingerprint and text hash.
 
-    Of rows with one doc_id that stays, one is kept; rows without an id stay only if nothing they link with has one.
+    A row without an id stays only if nothing it links with has one; texts that do not link stay whatever their ids. Of
+    rows with the same doc_id and the same text one is kept.
     """
-    found = near_duplicates(docs, distance)
-    kept = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    joined = docs.join(kept, docs["doc_id"].eqNullSafe(kept["__kept"]), "left_semi")
-    return joined.dropDuplicates(["doc_id"])
+    found = _grouped(docs, distance).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = found.groupBy("component", F.col("doc_id").alias("__kept")).agg(F.min(F.struct("fp", "__a", "__b")).alias("__row"))
+    kept = kept.select("__kept", F.col("__row.__a").alias("__c"), F.col("__row.__b").alias("__d"))
+    keyed = docs.withColumns(_hashes() | {"__id": F.col("doc_id").cast("long")})
+    same = F.col("__id").eqNullSafe(F.col("__kept")) & (F.col("__a") == F.col("__c")) & (F.col("__b") == F.col("__d"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["__id", "__a", "__b"]).drop("__id", "__a", "__b")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -269,6 +269,17 @@ def test_simhash(docs, odd, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.deduplicated(empty).count() == 0
 
 
+def test_deduplicated_goes_by_rows(spark):
+    """Rows without an id and rows that share one are told apart by what they link with, not by the id."""
+    rng = random.Random(11)
+    text = [" ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(30)) for _ in range(9)]
+    pairs = [(1, 0), (2, 1), (None, 0), (None, 2), (None, 3), (None, 3), (None, 4), (5, 5), (5, 1), (5, 6), (7, 6), (7, 6), (8, 7), (8, 7)]
+    found = simhash.deduplicated(frame(spark, [(i, text[t], "en", "a") for i, t in pairs]))
+    want = [(1, 0), (2, 1), (None, 2), (None, 3), (None, 4), (5, 5), (5, 6), (8, 7)]
+    assert Counter((r.doc_id, r.text) for r in found.collect()) == Counter((i, text[t]) for i, t in want)
+    assert found.columns == frame(spark, []).columns
+
+
 def test_simhash_links_of_a_large_bucket(spark):
     """A chain and a crowd of near fingerprints, dealt out in small chunks, connect as all pairs do."""
     rng = random.Random(3)
