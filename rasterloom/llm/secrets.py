@@ -24,12 +24,13 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 ASSIGN_LEAST, ACCESS_LEAST = 8, 16
 ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-#: A credential's name, a separator and a value.
+#: A credential's name, a separator and the place of a value, which goes on to the closing quote or to white space.
 CONTEXT = re.compile(
     r"""(?<![a-z])(pass(?:word|wd|phrase|code)|pwd|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|credentials?)"""
-    r"""["']?\x20{0,4}(?:is|was|[:=]>?)\x20{0,4}(["']?)([!-~]{6,128})""",
+    r"""["']?\x20*(?:is|was|[:=]>?)\x20*(["']?)(?=[!-~]{6})""",
     re.I | re.A,
 )
+RUN = re.compile(r"[!-~]+")
 CONTEXT_HINTS = ("pass", "pwd", "secret", "token", "key", "credential")
 MIN_GUESSES = 9.0
 KINDS = ("assign", "access", "hex", "guess")
@@ -46,6 +47,10 @@ ROWS = ("qwertyuiop", "asdfghjkl", "zxcvbnm", "1234567890", "abcdefghijklmnopqrs
 LEET = str.maketrans("013457@$!", "oieastasi")
 
 
+#: The longest repeated unit, and the longest value whose cost is remembered.
+UNITS, REMEMBERED = 16, 128
+
+
 class Span(NamedTuple):
     kind: str
     start: int
@@ -69,13 +74,27 @@ def _alphabet(text: str) -> int:
     return size + (33 if not text.isalnum() else 0)
 
 
+def guess_cost(value: str, enough: float = math.inf) -> float:
+    """Decimal digits of the guesses that the cheapest segmentation of ``value`` needs; 0 for an empty value.
+
+    From ``enough`` on, a long value's cost may be given as a lower bound that is no less than ``enough``.
+    """
+    return _remembered(value) if len(value) <= REMEMBERED else _cheapest(value, enough)
+
+
 @lru_cache(maxsize=100_000)
-def guess_cost(value: str) -> float:
-    """Decimal digits of the guesses that the cheapest segmentation of ``value`` needs; 0 for an empty value."""
+def _remembered(value: str) -> float:
+    return _cheapest(value, math.inf)
+
+
+def _cheapest(value: str, enough: float) -> float:
+    """The dynamic program. Runs of repeats and of neighbouring keys are carried along: each character takes the same work."""
     n, lower = len(value), value.lower()
     plain = lower.translate(LEET)
     brute = math.log10(max(_alphabet(value), 2))
     best = [0.0] + [math.inf] * n
+    repeated = [0] * (UNITS + 1)
+    walk, starts = 0, []
     for end in range(1, n + 1):
         best[end] = best[end - 1] + brute
         for start in range(max(0, end - LONGEST), end - 2):
@@ -86,18 +105,21 @@ def guess_cost(value: str) -> float:
         for start in range(max(0, end - 10), end - 3):
             if DATE.fullmatch(value, start, end):
                 best[end] = min(best[end], best[start] + math.log10(365 * 120))
-        start = end - 1
-        while start and lower[start - 1 : start + 1] in WALKS:
-            start -= 1
-            if end - start >= 3:
-                best[end] = min(best[end], best[start] + math.log10(47 * 4 * (end - start)))
-        for unit in range(1, min(16, end // 2) + 1):
-            start = end - unit
-            while start >= unit and value[start - unit : start] == value[end - unit : end]:
-                start -= unit
-            times = (end - start) // unit
+        if end == 1 or lower[end - 2 : end] not in WALKS:
+            walk, starts = end - 1, []
+        start = end - 3
+        if start >= walk and all(best[start] < best[s] + math.log10((3 + start - s) / 3) for s in starts):
+            starts.append(start)  # the others begin no cheaper walk, however far it goes
+        for start in starts:
+            best[end] = min(best[end], best[start] + math.log10(47 * 4 * (end - start)))
+        for unit in range(1, min(UNITS, end - 1) + 1):
+            repeated[unit] = repeated[unit] + 1 if value[end - 1] == value[end - 1 - unit] else 0
+            times = repeated[unit] // unit + 1
             if times >= (3 if unit == 1 else 2):
-                best[end] = min(best[end], best[start] + unit * brute + math.log10(times))
+                best[end] = min(best[end], best[end - times * unit] + unit * brute + math.log10(times))
+        if end % UNITS == 0 and end >= 2 * UNITS and min(best[end + 1 - 2 * UNITS : end + 1]) >= enough:
+            if end - walk < 2 * UNITS and max(repeated) < UNITS:  # whatever reaches beyond starts in these places
+                return enough
     return best[n]
 
 
@@ -120,14 +142,18 @@ def spans(text: str | None, min_guesses: float = MIN_GUESSES) -> tuple[list[Span
     base = base_spans(text, lower)
     added = []
     if any(k in lower for k in CONTEXT_HINTS):
-        for m in CONTEXT.finditer(text):
-            value = m[3]
-            if m[2]:
-                value = value.split(m[2], 1)[0]
-            value = value.rstrip(".,;:)]}>\"'")
-            start, end = m.start(3), m.start(3) + len(value)
+        at = whole = 0
+        while m := CONTEXT.search(text, at):
+            start = m.end()
+            if start >= whole:
+                whole = RUN.match(text, start).end()
+            at = whole
+            if m[2] and (close := text.find(m[2], start, whole)) >= 0:
+                at = close
+            value = text[start:at].rstrip(".,;:)]}>\"'")
+            end = start + len(value)
             taken = any(s.start < end and start < s.end for s in base)
-            if not taken and len(value) >= 6 and guess_cost(value) >= min_guesses and not value.isalpha():
+            if not taken and len(value) >= 6 and not value.isalpha() and guess_cost(value, min_guesses) >= min_guesses:
                 added.append(Span("guess", start, end))
     return base, added
 

@@ -231,6 +231,52 @@ def test_secrets(spark, odd, empty):
     assert secrets.scanned(empty).count() == 0
 
 
+def test_secrets_of_any_length_and_distance():
+    rng = random.Random(4)
+    long = "".join(rng.choices("abcdefghjkmnpqrstuvwxyzABCDEFGH23456789#$%", k=200))
+    for text, secret in ((f"passphrase: {long} end", long), (f'pwd="{long}" end', long), ("pwd:" + " " * 9 + "Zk9$qq!7Lm x", "Zk9$qq!7Lm"), ('{"pwd":"abc","credential":"Zk9$qq!7Lm"}', "Zk9$qq!7Lm")):
+        base, added = secrets.spans(text)
+        assert not base and [text[s.start : s.end] for s in added] == [secret]
+        assert secrets.masked(text, added) == text.replace(secret, secrets.MASK)
+    for value, found in (("z" * 50_000, 0), ("qw" * 25_000, 0), ("pwd=" * 12_000, 1), ("asdfghjkl" * 5000, 1)):
+        assert len(secrets.spans(f"pwd: {value}1")[1]) == found
+
+
+def brute_cost(value):
+    """The same dynamic program with every walk and repeat followed back from every end."""
+    lower, plain = value.lower(), value.lower().translate(secrets.LEET)
+    brute, best = math.log10(max(secrets._alphabet(value), 2)), [0.0]
+    for end in range(1, len(value) + 1):
+        found = [best[-1] + brute]
+        for start in range(end - 2):
+            part = value[start:end]
+            rank = secrets.RANK.get(lower[start:end]) or secrets.RANK.get(plain[start:end])
+            if rank:
+                found.append(best[start] + math.log10(rank + 1) + 0.3 + (0 if part == lower[start:end] == plain[start:end] else math.log10(4)))
+            if secrets.DATE.fullmatch(part):
+                found.append(best[start] + math.log10(365 * 120))
+            if all(lower[i : i + 2] in secrets.WALKS for i in range(start, end - 1)):
+                found.append(best[start] + math.log10(188 * (end - start)))
+        for unit in range(1, min(16, end // 2) + 1):
+            times = 1
+            while end - (times + 1) * unit >= 0 and value[end - (times + 1) * unit : end - times * unit] == value[end - unit : end]:
+                times += 1
+            if times >= (3 if unit == 1 else 2):
+                found.append(best[end - times * unit] + unit * brute + math.log10(times))
+        best.append(min(found))
+    return best[-1]
+
+
+def test_guess_cost_is_the_least():
+    rng = random.Random(8)
+    parts = ["password", "abc", "qwerty", "qwqwq", "aaaa", "2024-01-15", "x9$K", "lkjhgf", "ab1ab1ab1", "p@ss", "zxcvbnmnbvcxz", "Tr", "7"]
+    for _ in range(300):
+        value = "".join(rng.choices(parts, k=rng.randint(1, 12)))
+        want = brute_cost(value)
+        assert secrets._cheapest(value, math.inf) == pytest.approx(want)
+        assert (secrets._cheapest(value, 9.0) >= 9.0) == (want >= 9.0 - 1e-9)
+
+
 def test_guess_cost_orders_values():
     cost = secrets.guess_cost
     assert cost("") == 0 and cost("password") < cost("passw0rd1") < cost("xK9#mQ2v")
