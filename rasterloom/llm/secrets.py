@@ -16,7 +16,9 @@ from typing import NamedTuple
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
+from rasterloom.llm import packing
 from rasterloom.llm.common import sub_batches, table
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -49,6 +51,7 @@ LEET = str.maketrans("013457@$!", "oieastasi")
 
 #: The longest repeated unit, and the longest value whose cost is remembered.
 UNITS, REMEMBERED = 16, 128
+LONGEST_WORD = 24
 
 
 class Span(NamedTuple):
@@ -74,6 +77,18 @@ def _alphabet(text: str) -> int:
     return size + (33 if not text.isalnum() else 0)
 
 
+@lru_cache(maxsize=1)
+def dictionary() -> dict[str, int]:
+    """Ranks of the words for values of letters only: ``WORDS``, then the whole words of the tokenizer's vocabulary.
+
+    Prose in a credential's context consists of such words; random letters do not.
+    """
+    vocabulary = Tokenizer.from_file(packing.default_tokenizer()).get_vocab()
+    ended = (w.removesuffix("</w>") for w in sorted(vocabulary, key=vocabulary.get) if w.endswith("</w>"))
+    words = [w for w in ended if w.isascii() and w.isalpha() and w.islower() and 3 <= len(w) <= LONGEST_WORD]
+    return {w: i + 1 for i, w in reversed(list(enumerate([*WORDS, *words])))}
+
+
 def guess_cost(value: str, enough: float = math.inf) -> float:
     """Decimal digits of the guesses that the cheapest segmentation of ``value`` needs; 0 for an empty value.
 
@@ -91,14 +106,15 @@ def _cheapest(value: str, enough: float) -> float:
     """The dynamic program. Runs of repeats and of neighbouring keys are carried along: each character takes the same work."""
     n, lower = len(value), value.lower()
     plain = lower.translate(LEET)
+    ranks, longest = (dictionary(), LONGEST_WORD) if value.isalpha() else (RANK, LONGEST)
     brute = math.log10(max(_alphabet(value), 2))
     best = [0.0] + [math.inf] * n
     repeated = [0] * (UNITS + 1)
     walk, starts = 0, []
     for end in range(1, n + 1):
         best[end] = best[end - 1] + brute
-        for start in range(max(0, end - LONGEST), end - 2):
-            rank = RANK.get(lower[start:end]) or RANK.get(plain[start:end])
+        for start in range(max(0, end - longest), end - 2):
+            rank = ranks.get(lower[start:end]) or ranks.get(plain[start:end])
             if rank:
                 change = 0.0 if value[start:end] == lower[start:end] == plain[start:end] else math.log10(4)
                 best[end] = min(best[end], best[start] + math.log10(rank + 1) + change + 0.3)
@@ -135,7 +151,7 @@ def base_spans(text: str, lower: str | None = None) -> list[Span]:
 
 
 def spans(text: str | None, min_guesses: float = MIN_GUESSES) -> tuple[list[Span], list[Span]]:
-    """The base spans, and the values that the guess cost adds where no base span is."""
+    """The base spans, and the values that the guess cost adds where no base span holds the whole value."""
     if not text:
         return [], []
     lower = text.lower()
@@ -152,8 +168,8 @@ def spans(text: str | None, min_guesses: float = MIN_GUESSES) -> tuple[list[Span
                 at = close
             value = text[start:at].rstrip(".,;:)]}>\"'")
             end = start + len(value)
-            taken = any(s.start < end and start < s.end for s in base)
-            if not taken and len(value) >= 6 and not value.isalpha() and guess_cost(value, min_guesses) >= min_guesses:
+            taken = any(s.start <= start and end <= s.end for s in base)
+            if not taken and len(value) >= 6 and guess_cost(value, min_guesses) >= min_guesses:
                 added.append(Span("guess", start, end))
     return base, added
 

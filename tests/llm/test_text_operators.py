@@ -242,6 +242,16 @@ def test_secrets_of_any_length_and_distance():
         assert len(secrets.spans(f"pwd: {value}1")[1]) == found
 
 
+def test_guesses_reach_beyond_base_spans_and_letters_count():
+    text = "password=abcdefgh$Xy9!kk2 end"
+    base, added = secrets.spans(text)
+    assert base == [("assign", 0, 17)] and secrets.masked(text, secrets.merged(base, added)) == "[SECRET] end"
+    assert secrets.spans("password=abcdefgh1234, end")[1] == []
+    assert secrets.spans("pwd = qzjxkvbwmpfhtrcn")[1] == [("guess", 6, 22)]
+    for prose in ("required", "something", "authentication", "incorrect", "protected", "Password", "different", "compromised", "necessary", "changed"):
+        assert secrets.spans(f"the secret is {prose} here") == ([], [])
+
+
 def brute_cost(value):
     """The same dynamic program with every walk and repeat followed back from every end."""
     lower, plain = value.lower(), value.lower().translate(secrets.LEET)
