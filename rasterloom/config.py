@@ -23,6 +23,8 @@ SEGMENT_DISTANCE = 30.0
 TILE, OVERLAP = 128, 32
 EARLY_STOP_S = 60.0
 IMAGE_SUFFIXES = (".jpg", ".jpeg", ".png", ".tiff")
+#: Files among the scans that are no raster images unless they decode as one.
+DOCUMENT_SUFFIXES = (".pdf", ".svg")
 
 
 @dataclass(frozen=True)

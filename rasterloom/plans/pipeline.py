@@ -49,13 +49,14 @@ def run(spark: SparkSession, root: str, done: DataFrame | None = None, upscaler:
     """Processes the images below ``root`` whose relative_path is not in ``done``.
 
     A folder's resolution comes from all its valid images, also those that are done. An image that is not valid, in a
-    folder without a resolution, or at one without a calibration becomes a failure and stops nothing else.
+    folder without a resolution, or at one without a calibration becomes a failure and stops nothing else. Names do not
+    tell images: every file that decodes is one, and every other but a document by its suffix is an invalid one.
     """
     settings = settings or config.Settings()
-    found = sources.image_files(sources.files(spark, root)).withColumn("relative_path", relative(F.col("path"), root))
-    found = found.where(F.col("relative_path").contains("/"))
+    found = sources.files(spark, root).withColumn("relative_path", relative(F.col("path"), root))
+    found = found.where(F.col("relative_path").contains("/") & (F.lower("name") != "thumbs.db"))
     decoded = sources.images(spark, root)
-    checked = sources.validated(found, decoded)
+    checked = sources.validated(found, decoded).where(F.col("valid") | ~sources.suffix(F.col("name")).isin(*config.DOCUMENT_SUFFIXES))
     valid = checked.where("valid")
     ppis = resolution.estimate(valid, decoded.join(valid.select("path"), "path", "left_semi")).select("folder", "ppi")
     todo = checked if done is None else rel.pending(checked, done, ["relative_path"])

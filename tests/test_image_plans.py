@@ -96,6 +96,33 @@ def test_pipeline(spark, tree, tmp_path):
     assert rest.images.count() == 0 and rest.failures.count() == 4
 
 
+def test_pipeline_takes_every_suffix(spark, tmp_path):
+    """Scans named .tif, in upper case or without a suffix are processed, and broken ones are failures."""
+    page, ruler = drawn(260, 300, (150, 130, 150, 110), 220, 10), drawn(260, 300, (150, 130, 200, 50), 70, 200)
+    root = str(tmp_path)
+    for name, image in (("a.tif", page), ("b.TIF", page), ("c.bmp", page), ("d", page), ("z_ruler.tif", ruler)):
+        save(f"{root}/scans/{name}", noisy(image))
+    for name in ("broken.tif", "broken", "notes.pdf", "file.svg", "Thumbs.db"):
+        with open(f"{root}/scans/{name}", "wb") as file:
+            file.write(b"y" * 20_000)
+    result = pipeline.run(spark, root)
+    assert {r.relative_path for r in result.images.select("relative_path").collect()} == {f"scans/{n}" for n in ("a.tif", "b.TIF", "c.bmp", "d", "z_ruler.tif")}
+    assert {r.filename for r in result.failures.collect()} == {"broken.tif", "broken"}
+    assert [(r.n, r.errors, r.success) for r in result.totals.collect()] == [(7, 2, 5)]
+
+
+def test_real_tiff_decodes(spark, tmp_path):
+    """An uncompressed TIFF of 40 x 30 pixels, written by hand, as the scans are."""
+    import struct
+
+    pixels = np.random.default_rng(3).integers(0, 256, (30, 40, 3)).astype(np.uint8)
+    tags = [(256, 3, 1, 40), (257, 3, 1, 30), (258, 3, 3, 134), (259, 3, 1, 1), (262, 3, 1, 2), (273, 4, 1, 140), (277, 3, 1, 3), (278, 3, 1, 30), (279, 4, 1, 3600), (284, 3, 1, 1)]
+    head = struct.pack("<2sHIH", b"II", 42, 8, len(tags)) + b"".join(struct.pack("<HHII", *t) for t in tags) + struct.pack("<I", 0)
+    (tmp_path / "a.tif").write_bytes(head + struct.pack("<3H", 8, 8, 8) + pixels.tobytes())
+    row = sources.images(spark, str(tmp_path)).first()
+    assert (row.height, row.width) == (30, 40) and bytes(row.data) == pixels[..., ::-1].tobytes()
+
+
 def test_superresolution_sizes_and_identity(spark):
     rng = np.random.default_rng(2)
     rows, want = [], {}
