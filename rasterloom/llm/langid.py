@@ -3,7 +3,8 @@
 For each language, a suffix automaton of a labelled sample is built. A text is parsed from left to right into the longest
 phrases that occur in the sample; the language that needs the fewest phrases per character wins, phrases being weighed
 by the logarithm of the sample's length, the cost of pointing at one. Texts are parsed in lanes of fixed length, all
-lanes of a batch and all languages side by side: a step follows one character in every lane by a table lookup.
+lanes of a batch and all languages side by side: a step follows one character in every lane by a lookup in one hash table
+of transitions, whose size goes by the samples' characters and not by the number of different ones.
 """
 
 from __future__ import annotations
@@ -21,13 +22,13 @@ from rasterloom.llm.common import remainder, remainder_column, sub_batches, tabl
 SAMPLE_DOCS = 200
 SAMPLE_DOC_CHARS = 4000
 SAMPLE_CHARS = 60_000
-#: Characters of all languages together, which bounds the broadcast table; many languages share them evenly.
+#: Characters of all languages together, which many languages share evenly, and what each has however many there are.
 TOTAL_CHARS = 400_000
-MAX_LANGUAGES = 500
-#: Characters with a class of their own; the rest are one class, which no sample contains.
-ALPHABET = 120
+LEAST_CHARS = 800
 LANE = 512
 LANES = 4096
+#: Lanes times languages that are parsed side by side.
+CELLS = 2_000_000
 UNKNOWN = "und"
 
 
@@ -37,11 +38,11 @@ def normalised(text: str) -> str:
 
 
 def _classes(codes: dict[str, int]) -> np.ndarray:
-    """The code of each code point: that in ``codes``, 0 for other letters, that of the space for all else."""
+    """The code of each code point: that in ``codes``, 0 for letters of no sample, that of the space for all else."""
     global _letters
     if _letters is None:
         _letters = np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
-    out = np.where(_letters, 0, codes.get(" ", 255)).astype(np.uint8)
+    out = np.where(_letters, 0, codes[" "]).astype(np.int32)
     for c, i in codes.items():
         out[ord(c)] = i
     return out
@@ -50,8 +51,8 @@ def _classes(codes: dict[str, int]) -> np.ndarray:
 _letters: np.ndarray | None = None
 
 
-def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
-    """Transitions (state, code) of the automaton of all substrings; -1 where there is none. State 0 is the start."""
+def suffix_automaton(codes: list[int]) -> tuple[int, np.ndarray]:
+    """The number of states of the automaton of all substrings, and its (state, code, next state). State 0 is the start."""
     nexts, link, length, last = [{}], [-1], [0], 0
     for c in codes:
         new = len(nexts)
@@ -76,37 +77,67 @@ def suffix_automaton(codes: list[int], alphabet: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    out = np.full((len(nexts), alphabet), -1, np.int32)
-    for state, found in enumerate(nexts):
-        out[state, list(found)] = list(found.values())
-    return out
+    return len(nexts), np.array([(s, c, t) for s, found in enumerate(nexts) for c, t in found.items()], np.int64).reshape(-1, 3)
+
+
+class Transitions:
+    """A hash table from non-negative keys to values, with linear probing; keys are looked up many at a time."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
+        bits = max(4, int(3 * keys.size).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys = np.full(1 << bits, -1, np.int64)
+        self.values = np.full(1 << bits, -1, np.int64)
+        at, left = self._home(keys), np.arange(keys.size)
+        while left.size:
+            chosen = left[self.keys[at[left]] < 0]
+            self.keys[at[chosen]] = keys[chosen]
+            self.values[at[chosen]] = values[chosen]
+            # Of keys that met in a place one has stayed, the last in both assignments.
+            left = left[self.keys[at[left]] != keys[left]]
+            at[left] = (at[left] + 1) & self.mask
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The value of each of the ``keys`` (one dimension); -1 where there is none."""
+        at = self._home(keys)
+        there = self.keys[at]
+        out = self.values[at]
+        left = np.flatnonzero(there != keys)
+        out[left] = -1
+        left = left[there[left] >= 0]
+        while left.size:
+            at[left] = (at[left] + 1) & self.mask
+            there = self.keys[at[left]]
+            same = there == keys[left]
+            out[left[same]] = self.values[at[left[same]]]
+            left = left[~same & (there >= 0)]
+        return out
 
 
 class Model:
-    """Automata of several languages in one table."""
+    """Automata of several languages in one table; every character of a sample has a code."""
 
     def __init__(self, samples: dict[str, list[str]]) -> None:
         self.languages = sorted(samples)
-        most = min(SAMPLE_CHARS, TOTAL_CHARS // max(1, len(samples)))
+        most = max(LEAST_CHARS, min(SAMPLE_CHARS, TOTAL_CHARS // max(1, len(samples))))
         joined = {k: "  ".join(normalised(t) for t in v)[:most] for k, v in samples.items()}
-        counts: dict[str, int] = {}
-        for text in joined.values():
-            for c in text:
-                counts[c] = counts.get(c, 0) + 1
-        counts[" "] = sum(counts.values()) + 1
-        letters = sorted(counts, key=lambda c: (-counts[c], c))[: ALPHABET - 1]
-        self.codes = {c: i + 1 for i, c in enumerate(sorted(letters))}
-        tables, starts = [], []
+        self.codes = {c: i + 1 for i, c in enumerate(sorted({" ", *"".join(joined.values())}))}
+        self.classes = len(self.codes) + 1
+        edges, starts, states = [np.empty((0, 3), np.int64)], [], 0
         for k in self.languages:
-            made = suffix_automaton([self.codes.get(c, 0) for c in joined[k]], len(self.codes) + 1)
-            made[:, 0] = -1
-            starts.append(sum(map(len, tables)))
-            tables.append(np.where(made < 0, -1, made + starts[-1]))
+            size, made = suffix_automaton([self.codes[c] for c in joined[k]])
+            edges.append(made + np.array([states, 0, states]))
+            starts.append(states)
+            states += size
+        found = np.concatenate(edges)
+        #: Keys are state * classes + code, values the next state * classes.
+        self.table = Transitions(found[:, 0] * self.classes + found[:, 1], found[:, 2] * self.classes)
         #: The last state has no transitions: it follows a character that no phrase begins with.
-        tables.append(np.full((1, len(self.codes) + 1), -1, np.int32))
-        self.dead = sum(map(len, tables)) - 1
-        self.table = np.concatenate(tables).ravel()
-        self.starts = np.array(starts, np.int64)
+        self.dead = states * self.classes
+        self.starts = np.array(starts, np.int64) * self.classes
         self.bits = np.array([np.log2(max(2, len(joined[k]))) for k in self.languages])
         self.lookup = _classes(self.codes)
 
@@ -121,7 +152,7 @@ class Model:
         """The codes of all texts as by :func:`normalised`, with a space after each text, and the texts' lengths."""
         lowered = [t.lower() for t in texts]
         flat = np.frombuffer(" ".join([*lowered, ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
-        codes, space = self.lookup[flat], self.codes.get(" ", 255)
+        codes, space = self.lookup[flat], self.codes[" "]
         blank = codes == space
         keep = np.ones(codes.size, bool)
         keep[1:] = ~(blank[1:] & blank[:-1])
@@ -135,35 +166,35 @@ class Model:
         """(text, language) phrases, each lane of ``LANE`` characters being parsed on its own; 0 without a letter."""
         out = np.zeros((len(texts), len(self.languages)), np.int64)
         codes, sizes = self.encoded(texts)
-        codes = np.concatenate((codes, np.zeros(LANE, np.uint8)))
+        codes = np.concatenate((codes, np.zeros(LANE, np.int32)))
         lanes = -(-sizes // LANE)
         owner = np.repeat(np.arange(len(texts)), lanes)
         within = np.arange(owner.size) - np.repeat(np.cumsum(lanes) - lanes, lanes)
         start = np.repeat(np.cumsum(sizes) - sizes, lanes) + within * LANE
         size = np.minimum(LANE, np.repeat(sizes, lanes) - within * LANE)
         order = np.argsort(-size, kind="stable")
-        for at in range(0, order.size, LANES):
-            chosen = order[at : at + LANES]
+        most = max(1, min(LANES, CELLS // max(1, len(self.languages))))
+        for at in range(0, order.size, most):
+            chosen = order[at : at + most]
             np.add.at(out, owner[chosen], self._parse(codes, start[chosen], size[chosen]))
         return out
 
     def _parse(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Lanes come with the longest first; those that have ended drop off the end."""
-        classes = len(self.codes) + 1
-        home = self.starts * classes
-        state = np.repeat(home[None, :], start.size, 0)
+        state = np.repeat(self.starts[None, :], start.size, 0)
         count = np.ones(state.shape, np.int32)
         ends = np.searchsorted(-size, -np.arange(LANE), "left")
         for step in range(int(size[0])):
             live = ends[step]
-            code = codes[start[:live] + step].astype(np.int64)[:, None]
-            found = self.table[state[:live] + code]
-            missed = found < 0
+            code = codes[start[:live] + step].astype(np.int64)
+            found = self.table.find((state[:live] + code[:, None]).ravel())
+            missed = np.flatnonzero(found < 0)
+            lane, language = np.divmod(missed, self.starts.size)
             if step:
-                count[:live] += missed
-            again = self.table[home[None, :] + code]
-            found = np.where(missed, np.where(again < 0, self.dead, again), found)
-            state[:live] = found.astype(np.int64) * classes
+                count[lane, language] += 1
+            again = self.table.find(self.starts[language] + code[lane])
+            found[missed] = np.where(again < 0, self.dead, again)
+            state[:live] = found.reshape(live, -1)
         return count
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
@@ -187,12 +218,13 @@ def fit(docs: DataFrame) -> Model:
     """Learns from at most ``SAMPLE_DOCS`` labelled documents of each language, spread over all by a hash of the id."""
     rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     rows = rows.where((remainder_column("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    counts = rows.groupBy("lang").count().orderBy("lang").collect()
     if not counts:
         return Model({})
     chance = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, 2 * SAMPLE_DOCS / r["count"]))])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    sample = rows.where(draw < chance[F.col("lang")]).select("lang", "doc_id", F.substring("text", 1, SAMPLE_DOC_CHARS).alias("text"))
+    chars = max(LEAST_CHARS, min(SAMPLE_DOC_CHARS, TOTAL_CHARS // len(counts)))
+    sample = rows.where(draw < chance[F.col("lang")]).select("lang", "doc_id", F.substring("text", 1, chars).alias("text"))
     best = sample.groupBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("at")).agg(F.min("text").alias("text"))
     found: dict[str, list] = {}
     for r in best.collect():

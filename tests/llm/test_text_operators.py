@@ -430,6 +430,24 @@ def test_cross_parsing():
     assert model.predict(["the cat", "été", None, "", "123 !"])[0] == ["xx", "yy", "und", "und", "und"]
 
 
+def test_language_id_of_many_scripts():
+    """Every character of a sample keeps its code, however many there are, and so does every language."""
+    rng = random.Random(6)
+    script = lambda first, n: [chr(first + i) for i in range(n)]
+    scripts = {"zh1": script(0x4E00, 2000), "zh2": script(0x6000, 2000), "ru": script(0x430, 32), "ar": script(0x628, 30), "en": script(97, 26)}
+    texts = {k: ["".join(rng.choices([*v, " "], k=3000)) for _ in range(2)] for k, v in scripts.items()}
+    model = langid.Model(texts)
+    for k, v in texts.items():
+        found, score = model.predict([v[0][100:400]])
+        assert found == [k] and score[0] > 0.1
+        rows = model.phrases([v[1][:300]])
+        sample = {x: "  ".join(map(langid.normalised, texts[x])) for x in texts}
+        assert rows[0].tolist() == [brute_phrases(langid.normalised(v[1][:300]) + " ", sample[x]) for x in model.languages]
+    many = {f"l{i:03}": [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(100))] for i in range(600)}
+    model = langid.Model(many)
+    assert model.predict([many[k][0][:200] for k in ("l000", "l555", "l599")])[0] == ["l000", "l555", "l599"]
+
+
 def test_language_id(spark, docs, odd, empty):
     real = spark.read.parquet(f"{SF}/documents.parquet")
     found = langid.predicted(real, langid.fit(real)).join(real.select("doc_id", "lang"), "doc_id").where("held_out").collect()
