@@ -19,18 +19,45 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once, with its lineage cut, in the folder of spark.checkpoint.dir, which all executors share.
+#: A key is hot if it holds more than this share of all rows, so there are no more hot keys than its inverse.
+HOT_SHARE = 1e-4
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share.
 
-    Only where that setting is missing (tests, local mode) is a temporary folder of this machine used.
+    In local mode a temporary folder does where the setting is missing; on a cluster that is an error.
     """
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="rasterloom-")
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once, with its lineage cut, in the shared folder."""
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rasterloom-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 
+def hot_join(rows: DataFrame, classes: DataFrame, key: str, n: str, total: int) -> DataFrame:
+    """Inner join of ``rows`` with ``classes``, one row for each ``key`` and ``n`` of the ``total`` rows with it.
+
+    Rows of a hot key meet its class by a broadcast of the hot classes, 1 / ``HOT_SHARE`` at most; all others, no key of
+    which fills a task, by a shuffle.
+    """
+    hot = classes.where(F.col(n) > HOT_SHARE * total)
+    cold = classes.where(F.col(n) <= HOT_SHARE * total)
+    marked = rows.join(F.broadcast(hot), key, "left")
+    few = marked.where(F.col(n).isNotNull())
+    rest = marked.where(F.col(n).isNull()).select(*rows.columns).join(cold, key)
+    return few.unionByName(rest)
+
+
 def remainder(doc_id: int | None, divisor: int) -> int:
     """crc32 of the id as text, modulo ``divisor``; a null id counts as empty text."""
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % divisor

@@ -1,8 +1,8 @@
 """SimHash near-dedup: pigeonhole blocks find every pair of fingerprints within a Hamming distance.
 
-Of the ``BLOCKS`` blocks of a fingerprint, ``distance`` differing bits spoil at most ``distance``; the others are equal.
-So each fingerprint goes into one bucket for every choice of ``BLOCKS - distance`` blocks, and a close pair meets in one
-of them at least. A bucket beyond ``chunk`` is dealt out as pairs of chunks, so that no task holds more than two chunks;
+Of the blocks of a fingerprint, ``distance`` differing bits spoil at most ``distance``; the others are equal.
+So each fingerprint goes into one bucket for every choice of ``blocks - distance`` blocks, and a close pair meets in one
+of them at least. More fingerprints take more blocks, so that a key's bits keep up with their number; any number is exact. A bucket beyond ``chunk`` is dealt out as pairs of chunks, so that no task holds more than two chunks;
 inside, pairs are verified by XOR and bit count, and only a spanning forest of the links leaves the task.
 """
 
@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -17,14 +18,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom.llm.common import LOWER, checkpointed, sub_batches, table
+from rasterloom.llm.common import LOWER, checkpointed, hot_join, sub_batches, table
 from rasterloom.llm.components import connected_components
 
 WORDS = 4
 DISTANCE = 4
 SEED = 42
-#: Two of six blocks are 20 to 22 bits, of three blocks of seven 27: the wider key suits more than some 10^8 texts.
-BLOCKS = 6
+#: Chance meetings that a fingerprint may have in all its buckets before a wider key is chosen, and the most blocks.
+MEETINGS = 256
+MOST_BLOCKS = 9
 CHUNK = 2048
 _SLICE = 1 << 16
 
@@ -87,8 +89,23 @@ def forest(fps: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(members), np.concatenate(roots)
 
 
-def links(distinct: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, chunk: int = CHUNK) -> DataFrame:
-    """Edges (u, v) that connect all of ``distinct`` (fp long) within ``distance`` bits; no pair beyond is an edge's cause."""
+def blocks_for(count: int, distance: int = DISTANCE) -> int:
+    """The least number of blocks with which ``count`` fingerprints meet few others by chance.
+
+    There are C(blocks, distance) buckets for each, of count / 2^(64 (blocks - distance) / blocks) others on average.
+    """
+    for blocks in range(distance + 2, MOST_BLOCKS):
+        if comb(blocks, distance) * count / 2 ** (64 * (blocks - distance) / blocks) <= MEETINGS:
+            return blocks
+    return max(MOST_BLOCKS, distance + 2)
+
+
+def links(distinct: DataFrame, distance: int = DISTANCE, blocks: int | None = None, chunk: int = CHUNK) -> DataFrame:
+    """Edges (u, v) that connect all of ``distinct`` (fp long) within ``distance`` bits; no pair beyond is an edge's cause.
+
+    Any number of ``blocks`` finds the same links; by default it goes by the number of fingerprints.
+    """
+    blocks = blocks_for(distinct.count(), distance) if blocks is None else blocks
     if not 0 <= distance < blocks:
         raise ValueError("blocks must exceed distance")
     cuts = [round(64 * i / blocks) for i in range(blocks + 1)]
@@ -136,7 +153,7 @@ def links(distinct: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, c
     return dealt.mapInArrow(run, "u long, v long")
 
 
-def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = WORDS, blocks: int = BLOCKS) -> DataFrame:
+def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = WORDS, blocks: int | None = None) -> DataFrame:
     """(doc_id, fp, component_id) for each row of ``docs``.
 
     Rows link if their fingerprints differ in at most ``distance`` bits; component_id is the smallest doc_id that links
@@ -146,17 +163,17 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE, words: int = WORD
     return _grouped(docs, distance, words, blocks).select("doc_id", "fp", "component_id")
 
 
-def _grouped(docs: DataFrame, distance: int, words: int = WORDS, blocks: int = BLOCKS) -> DataFrame:
+def _grouped(docs: DataFrame, distance: int, words: int = WORDS, blocks: int | None = None) -> DataFrame:
     """:func:`near_duplicates` with the hashes of each row's text, and its component, which is null in no row."""
     rows = checkpointed(fingerprints(docs, words))
-    least = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = checkpointed(rows.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     groups = connected_components(links(least.select("fp"), distance, blocks))
     labelled = least.join(groups.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "least", F.coalesce("component", "fp").alias("component")
+        "fp", "least", "n", F.coalesce("component", "fp").alias("component")
     )
-    ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    classes = labelled.join(ids, "component").select("fp", "component", "component_id")
-    return rows.join(classes, "fp").select("doc_id", "fp", "__a", "__b", "component", "component_id")
+    ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("fps"))
+    classes = checkpointed(hot_join(labelled, ids, "component", "fps", least.count()))
+    return hot_join(rows, classes, "fp", "n", rows.count()).select("doc_id", "fp", "__a", "__b", "component", "component_id")
 
 
 def deduplicated(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
