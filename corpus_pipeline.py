@@ -6,12 +6,12 @@ again by the next one. All but the last return the columns of documents.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from rasterloom.llm import langid, mixing, packing, secrets, simhash
+from rasterloom.llm.common import shared_folder
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,12 +45,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written below the shared folder in spark.checkpoint.dir."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rasterloom-")
-    folder = f"{shared}/corpus-pipeline-{uuid.uuid4().hex}"
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents, each written below the shared folder; a stage's rows go once the next one's are there."""
+    folder = f"{shared_folder(spark)}/corpus-pipeline-{uuid.uuid4().hex}"
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}-{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            _remove(spark, before)
+        before = path
     return docs
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
