@@ -42,27 +42,62 @@ COUNTER_CUES = "isbn|issn|order|invoice|version|page|chapter|figure|table|item|s
 THRESHOLD = 0.9
 _CONTEXT = 24
 _ROUNDS = 50
+_NO_SPANS = "cast(array() as array<struct<kind:string,start:int,end:int>>)"
 _EMPTY = "cast(array() as array<struct<start:int,end:int,s:string,before:string>>)"
 
 
+def _running(lengths: Column) -> Column:
+    """Running sums of an array of whole numbers, in as many passes as its size has binary digits."""
+    digits = F.ceil(F.log2(F.greatest(F.size(lengths), F.lit(1)) + 1)).cast("int")
+
+    def passed(sums: Column, k: Column) -> Column:
+        return F.transform(sums, lambda x, i: x + F.coalesce(F.get(sums, i - F.pow(F.lit(2), k).cast("int")), F.lit(0)))
+
+    return F.aggregate(F.sequence(F.lit(0), digits - 1), lengths, passed)
+
+
+def _bound(value: Column, f) -> Column:
+    """``f`` of ``value``, which is evaluated once however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def _found(text: str, pattern: str, hint: Column) -> Column:
-    """Non-overlapping matches as structs (start, end, s, before); offsets are in code points. None unless ``hint``."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    """Non-overlapping matches as structs (start, end, s, before); offsets are in code points. None unless ``hint``.
+
+    Offsets are running sums of the lengths of matches and of the gaps before them, so that a text of n matches takes
+    n log n steps.
+    """
     pairs = F.zip_with(
         F.split(text, pattern, -1),
-        matches,
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda gap, s: F.struct(F.length(gap).alias("gap"), s.alias("s"), F.lower(F.substring(gap, -_CONTEXT, _CONTEXT)).alias("before")),
     )
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + x["gap"]
-        end = start + F.length(x["s"])
-        span = F.struct(start.alias("start"), end.alias("end"), x["s"].alias("s"), x["before"].alias("before"))
-        spans = F.when(x["s"].isNull(), acc["spans"]).otherwise(F.concat(acc["spans"], F.array(span)))
-        return F.struct(F.coalesce(end, start).alias("at"), spans.alias("spans"))
+    def spans(found: Column) -> Column:
+        ends = _running(F.transform(found, lambda x: F.coalesce(x["gap"] + F.length(x["s"]), F.lit(0))))
+        return F.zip_with(
+            found,
+            ends,
+            lambda x, end: F.struct((end - F.length(x["s"])).alias("start"), end.alias("end"), x["s"].alias("s"), x["before"].alias("before")),
+        )
+
+    made = _bound(F.filter(pairs, lambda x: x["s"].isNotNull()), spans)
+    return F.when(hint, made).otherwise(F.expr(_EMPTY))
+
+
+def _overlapped(spans: Column, start: Column, end: Column) -> Column:
+    """Whether one of ``spans``, in order and apart from each other, has a place of start..end: a binary search.
+
+    The last span that begins before ``end`` is the one to look at.
+    """
+    digits = F.ceil(F.log2(F.size(spans) + 1)).cast("int")
 
-    zero = F.struct(F.lit(0).alias("at"), F.expr(_EMPTY).alias("spans"))
-    return F.when(hint, F.aggregate(pairs, zero, step, lambda acc: acc["spans"])).otherwise(F.expr(_EMPTY))
+    def step(below: Column, k: Column) -> Column:
+        more = below + F.pow(F.lit(2), digits - 1 - k).cast("int")
+        return F.when(F.coalesce(F.get(spans, more - 1)["start"] < end, F.lit(False)), more).otherwise(below)
+
+    below = F.aggregate(F.sequence(F.lit(0), digits), F.lit(0), step)
+    return F.coalesce(F.get(spans, below - 1)["end"] > start, F.lit(False))
 
 
 def _digits(s: Column) -> Column:
@@ -198,6 +233,12 @@ def classifier(counts: dict[str, int]) -> dict[str, float]:
     return out
 
 
+def _apart(found: Column, kind: str) -> Column:
+    """Those of the candidates that no base span of ``kind`` overlaps; spans of a kind are apart and in order."""
+    own = F.filter("base", lambda b: b["kind"] == kind)
+    return _bound(own, lambda spans: F.filter(found, lambda c: ~_overlapped(spans, c["start"], c["end"])))
+
+
 def detected(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, base, added) for each row of ``docs`` (doc_id, text): arrays of spans (kind, start, end).
 
@@ -209,13 +250,13 @@ def detected(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     combos = rows.select(F.explode("candidates.combo").alias("combo")).groupBy("combo").count()
     accepted = [c for c, p in classifier({r.combo: r["count"] for r in combos.collect()}).items() if p >= threshold]
     if not accepted:
-        return rows.select("doc_id", "base", F.expr("cast(array() as array<struct<kind:string,start:int,end:int>>)").alias("added"))
-
-    def free(c: Column) -> Column:
-        return c["combo"].isin(*accepted) & ~F.exists("base", lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
+        return rows.select("doc_id", "base", F.expr(_NO_SPANS).alias("added"))
 
-    added = F.transform(F.filter("candidates", free), lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
-    return rows.select("doc_id", "base", added.alias("added"))
+    found = F.filter("candidates", lambda c: c["combo"].isin(*accepted))
+    for kind in KINDS:
+        found = _apart(found, kind)
+    added = F.transform(found, lambda c: F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end")))
+    return rows.select("doc_id", "base", F.when(F.size("candidates") > 0, added).otherwise(F.expr(_NO_SPANS)).alias("added"))
 
 
 def written(spans: Column | str) -> Column:

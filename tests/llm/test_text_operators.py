@@ -115,6 +115,32 @@ def test_pii_base_spans(spark, docs, odd, empty):
     assert pii.detected(empty).count() == 0
 
 
+def test_pii_of_many_matches(spark):
+    """Tens of thousands of matches in one text, none of them or all of them spans, keep their offsets."""
+    n = 20_000
+    texts = ["  ".join(["12"] * n) + " 4111 1111 1111 1111", " ".join(["é a@b.co"] * n), " ; ".join(["4111 1111 1111 1111"] * n), ", ".join(["123456789"] * n)]
+    found = pii.detected(frame(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])).select("doc_id", pii.written("base").alias("b")).collect()
+    assert {r.doc_id: r.b for r in found} == {i: brute_pii(t) for i, t in enumerate(texts)}
+
+
+def test_pii_added_spans(spark):
+    """Spelt-out addresses among clean numbers are learned from the votes; the spans that are added lie where they should."""
+    rng = random.Random(4)
+    rows, want = [], set()
+    for i in range(300):
+        words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(6)]
+        if i % 3 == 0:
+            address = f"{words[0]} (at) {words[1]} (dot) com"
+            text = f"é {words[2]}; write to {address}, {words[3]}"
+            want.add((i, "contact", text.index(address), text.index(address) + len(address)))
+        else:
+            text = f"{words[0]} order {rng.randint(10**7, 10**8 - 1)} {words[1]} me@x{i}.org"
+        rows.append((i, text, "en", "a"))
+    found = pii.detected(frame(spark, rows)).collect()
+    assert {(r.doc_id, *a) for r in found for a in r.added} == want
+    assert {r.doc_id for r in found if r.base} == {i for i in range(300) if i % 3}
+
+
 def test_pii_learns_labelers():
     truth = {"+++": 90, "++0": 80, "+-0": 10, "---": 200, "0-0": 300, "0--": 100, "-+-": 5}
     found = pii.reliabilities(truth)
