@@ -503,6 +503,67 @@ def test_toxicity(spark, docs, odd, empty):
     assert {r.score for r in toxicity.scored(docs, toxicity.fit(docs, none)).collect()} == {0.5}
 
 
+def test_toxicity_by_language(spark):
+    """Held-out toxic texts are found in each language that has enough of them, and clean ones are left alone."""
+    real, labels = (spark.read.parquet(f"{SF.replace('0.001', '0.1')}/{t}.parquet") for t in ("documents", "labels"))
+    found = toxicity.scored(real, toxicity.fit(real, labels)).where("held_out").join(labels, "doc_id").join(real.select("doc_id", "lang"), "doc_id")
+    rows = found.groupBy("lang", "toxic").agg({"predicted": "avg"}).collect()
+    rates = {(r.lang, r.toxic): r["avg(predicted)"] for r in rows}
+    assert all(rates[lang, 1] >= 0.9 for lang in ("en", "de", "fr")) and rates["es", 1] >= 0.4
+    assert all(rates[lang, 0] <= 0.05 for lang in ("en", "de", "fr", "es"))
+
+
+def brute_readings(text, model):
+    """All readings of a text with their least costs, each step of the channel being taken in turn."""
+    out = {}
+
+    def walk(i, context, last, cost, read):
+        if i == len(text):
+            out[read] = min(out.get(read, math.inf), cost + model.cost(context, " "))
+            return
+        c = text[i]
+        if c in toxicity.SEPARATORS:
+            walk(i + 1, context, "", cost + toxicity._GLUE, read)
+            if context != "^^":
+                walk(i + 1, "^^", "", cost + toxicity._BREAK + model.cost(context, " "), read + " ")
+            return
+        if c == last:
+            drawn = text[max(0, i - 2) : i] == c + c or text[i + 1 : i + 2] == c
+            walk(i + 1, context, last, cost + (toxicity._DRAWN if drawn else toxicity._DOUBLE), read)
+        letters = [(c, 0.0)] if c.isalpha() else [(x, toxicity._SYMBOL) for x in toxicity.LEET.get(c, "")]
+        for x, extra in letters:
+            walk(i + 1, context[1] + x, c, cost + extra + model.cost(context, x), read + x)
+        if not letters:
+            walk(i + 1, context, "", cost + 6.0, read)
+
+    walk(0, "^^", "", 0.0, "")
+    return out
+
+
+def test_decode_is_the_likeliest_reading():
+    words = {"idiot": 9, "moron": 5, "lil": 3, "toll": 4, "sell": 2, "a": 2}
+    model = toxicity.CharacterModel(words)
+    rng = random.Random(8)
+    for _ in range(300):
+        text = "".join(rng.choices("il1!oo0t s5-e3a4^", k=rng.randint(1, 9)))
+        readings = brute_readings(text, model)
+        assert readings[toxicity.decode(text, model)] == pytest.approx(min(readings.values()))
+
+
+def test_toxicity_learns_stems(spark):
+    """Endings that are each too rare share the evidence of their stem; a stem of learned words alone is not one."""
+    rng = random.Random(3)
+    ending = lambda: "".join(rng.choices("abcdefgh", k=4))
+    rows, marks = [], []
+    for i in range(1500):
+        toxic = i % 10 == 0
+        rows.append((i, " ".join([*(ending() for _ in range(15)), *([f"zorp{ending()}", "quonk"] if toxic else []), *(["quonset"] if i % 10 == 1 else [])]), "en", "a"))
+        marks.append((i, int(toxic)))
+    model = toxicity.fit(frame(spark, rows), spark.createDataFrame(marks, "doc_id long, toxic int"))
+    assert "zorp*" in model.odds and "quonk" in model.odds and not any(w.startswith("quon") and "*" in w for w in model.odds)
+    assert model.score("zorpzzzz") >= 0.7 > model.score("quonset here") and model.score("z0rpzzzz") >= 0.7
+
+
 def test_toxicity_learns_rare_words(spark):
     """A word in 3 % of the toxic texts is learned where no clean text has it, a word as common in clean texts is not."""
     rng = random.Random(9)
