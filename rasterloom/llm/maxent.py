@@ -1,20 +1,24 @@
 """LM scoring by a hashed maximum-entropy model with a class-factored softmax.
 
-A word's probability is that of its class, given the words before it, times that of the word in its class. The class is
-a softmax over hashed weights: the previous word, the classes of the three words before, and as a skip feature the
-classes of the two words before the previous one. The word in its class has its smoothed share of the class's training
-tokens. The commonest words are classes of their own; every other word's class follows from its ending, so it is known
-without a vocabulary. Weights are trained by rounds of distributed gradient updates: each task runs over its texts in
+A word's probability is that of its class, given the words before it, times that of the word in its class, given the same.
+Both factors are softmaxes over hashed weights. The class sees the previous word, the classes of the three words before,
+and as a skip feature the classes of the two words before the previous one; the word sees its class with the previous word
+and, as a skip feature, with the word before that. Each class has its commonest words as outcomes of its own and an escape
+for the others, which share it by their smoothed counts. The commonest words of all are classes by themselves; every other
+word's class follows from its ending, so it is known without a vocabulary. Weights are trained by rounds of distributed
+gradient updates: the training texts are dealt out over the rounds, in each of which every task runs over its texts in
 minibatches from the shared weights, and the tasks' moves are averaged by tokens, in slices, before the next round.
 
-Counts are exact and cover all training texts. Words that are not frequent are counted and looked up in a shuffle by word;
-only the bounded table of frequent words and the weights, of fixed size, are broadcast.
+Counts cover all training texts and go by 128-bit hashes of words. Words that are not frequent are counted and looked up in
+a shuffle by word; only the bounded table of frequent words and the weights, of fixed size, are broadcast.
 """
 
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -29,71 +33,143 @@ from rasterloom.llm.common import LOWER, checkpointed, remainder_column, sub_bat
 
 #: Words with a count of their own in the broadcast table.
 FREQUENT = 1 << 16
+#: Outcomes of each softmax: classes, and the words of a class with the escape, outcome 0.
 CLASSES = 32
-#: Rows of hashed weights.
+#: Rows of hashed weights of each factor. Row 0 is the classes' constant; rows ROWS to ROWS + CLASSES those of the words.
 ROWS = 1 << 14
-#: The previous word, the classes of three words, and those of the two before the previous word; and a constant, row 0.
-FEATURES = 3
-ROUNDS = 1
+#: Of the class: the previous word, the classes of three words, those of the two before the previous word. Of the word in
+#: its class: the class with the previous word, and with the one before that.
+CLASS_FEATURES, WORD_FEATURES = 3, 2
+#: Rounds of training; a text is trained on in one of them.
+ROUNDS = 4
 RATE = 0.3
 BATCH = 1 << 12
 #: Slices in which tasks hand on their weights.
 SLICES = 64
 _CACHE = 200_000
+_CACHED_BYTES = 32 << 20
 _SALTS = 8
 _TOKENS = 1 << 15
-END = 1  # the hash of the end of a text
-#: Low bits of a word's hash that its ending decides.
+#: Low bits of a word's first hash that its ending decides.
 _ENDING = 10
 _PUNCTUATION = b".,;:!?\"')(#*$%&|<>"
+#: The hashes of the end of a text, which is word 0 of every vocabulary.
+END = (1, 0)
 
 
-class Words(dict):
-    """UTF-8 words to signed 64-bit hashes, whose low bits the ending decides; remembers a bounded number."""
+class _Endings(dict):
+    """The low bits that an ending decides."""
+
+    def __missing__(self, ending: bytes) -> int:
+        found = self[ending] = xxhash.xxh32_intdigest(ending) >> 32 - _ENDING
+        return found
+
+
+_endings = _Endings()
+
+
+class Vocabulary(dict):
+    """Places of UTF-8 words, and their two 64-bit hashes by place; the ending decides the low bits of the first one."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.reset()
+
+    def reset(self) -> None:
+        self.clear()
+        self.digests, self.endings, self.bytes = bytearray(16), array("q", (0,)), 0
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= _CACHE:
-            self.clear()
         core = word.rstrip(_PUNCTUATION)
-        ending = core[-3:] if core == word else core[-2:] + word[-1:]
-        found = ((xxhash.xxh64_intdigest(word) >> _ENDING << _ENDING) | (xxhash.xxh32_intdigest(ending) >> 32 - _ENDING)) - (1 << 63)
-        if len(word) <= 64:
-            self[word] = found
+        self.digests += xxhash.xxh3_128_digest(word)
+        self.endings.append(_endings[core[-3:] if core == word else core[-2:] + word[-1:]])
+        self.bytes += len(word)
+        found = self[word] = len(self) + 1
         return found
 
+    def full(self) -> bool:
+        return len(self) >= _CACHE or self.bytes >= _CACHED_BYTES
 
-_words = Words()
+    def both(self, since: int = 0) -> np.ndarray:
+        """(place, 2) hashes of the words from place ``since`` on."""
+        out = np.frombuffer(bytes(self.digests[16 * since :]), "<i8").reshape(-1, 2).copy()
+        out[:, 0] = (out[:, 0] >> _ENDING << _ENDING) | np.array(self.endings[since:], np.int64)
+        if not since:
+            out[0] = END
+        return out
 
 
-def tokens(text: str | None) -> np.ndarray:
-    """Hashes of the words of ``text``, A-Z lower-cased, and of its end."""
-    words = [] if text is None else text.encode("utf-8", "surrogatepass").translate(LOWER).split()
-    out = np.empty(len(words) + 1, np.int64)
-    out[:-1] = np.fromiter(map(_words.__getitem__, words), np.int64, len(words))
-    out[-1] = END
-    return out
+def _places(texts: list, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all texts' words, A-Z lower-cased, each text with its end, and where each text begins."""
+    words = [[] if t is None else t.encode("utf-8", "surrogatepass").translate(LOWER).split() for t in texts]
+    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    starts = np.cumsum(sizes) - sizes
+    out = np.zeros(int(sizes.sum()), np.int64)
+    inside = np.ones(out.size, bool)
+    inside[starts + sizes - 1] = False
+    out[inside] = np.fromiter(map(vocabulary.__getitem__, chain.from_iterable(words)), np.int64, out.size - len(words))
+    return out, starts
 
 
 class Counts(NamedTuple):
-    """What all tasks share: totals, and the frequent words, sorted by hash, with counts and classes."""
+    """What all tasks share: totals, and the frequent words, sorted by hashes, with counts, classes and outcomes."""
 
     total: int
     distinct: int
     hashes: np.ndarray
     counts: np.ndarray
     classes: np.ndarray
+    outcomes: np.ndarray
     alone: int
 
     def places(self, hashes: np.ndarray) -> np.ndarray:
-        """Places of frequent words, -1 for others."""
-        if not self.hashes.size:
-            return np.full(hashes.shape, -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), self.hashes.size - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        """Places of frequent words, of (word, 2) hashes; -1 for others."""
+        out = np.full(len(hashes), -1)
+        if len(self.hashes):
+            at = np.searchsorted(self.hashes[:, 0], hashes[:, 0])
+            left = np.arange(len(hashes))
+            while left.size:  # words that share their first hash lie side by side
+                left = left[at[left] < len(self.hashes)]
+                left = left[self.hashes[at[left], 0] == hashes[left, 0]]
+                same = self.hashes[at[left], 1] == hashes[left, 1]
+                out[left[same]] = at[left[same]]
+                left = left[~same]
+                at[left] += 1
+        return out
 
     def class_of(self, hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
-        ending = self.alone + (hashes & ((1 << _ENDING) - 1)) % (CLASSES - self.alone)
-        return np.where(places >= 0, self.classes[places], ending) if self.hashes.size else ending
+        out = self.alone + (hashes[:, 0] & ((1 << _ENDING) - 1)) % (CLASSES - self.alone)
+        often = places >= 0
+        out[often] = self.classes[places[often]]
+        return out
+
+
+class Words:
+    """A task's words: a vocabulary with the places, classes and outcomes of its words in the shared counts."""
+
+    def __init__(self, known: Counts) -> None:
+        self.known, self.vocabulary = known, Vocabulary()
+        self._start()
+
+    def _start(self) -> None:
+        self.vocabulary.reset()
+        self.hashes, self.places, self.classes, self.outcomes = np.empty((0, 2), np.int64), *(np.empty(0, np.int64) for _ in range(3))
+
+    def of(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the texts' tokens in the arrays of this object, and where each text begins."""
+        if self.vocabulary.full():
+            self._start()
+        at, starts = _places(texts, self.vocabulary)
+        fresh = self.vocabulary.both(len(self.places))
+        places = self.known.places(fresh)
+        outcomes = np.zeros(len(fresh), np.int64)
+        often = places >= 0
+        outcomes[often] = self.known.outcomes[places[often]]
+        self.hashes = np.concatenate((self.hashes, fresh))
+        self.places = np.concatenate((self.places, places))
+        self.classes = np.concatenate((self.classes, self.known.class_of(fresh, places)))
+        self.outcomes = np.concatenate((self.outcomes, outcomes))
+        return at, starts
 
 
 def _training(docs: DataFrame) -> DataFrame:
@@ -102,27 +178,29 @@ def _training(docs: DataFrame) -> DataFrame:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(h, c): exact counts of the training tokens; each task adds up what it can hold before the shuffle."""
+    """(h, g, c): exact counts of the training tokens; each task adds up what its vocabulary holds before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-        size = 0
+        vocabulary, counts = Vocabulary(), np.zeros(0, np.int64)
 
         def flushed() -> pa.RecordBatch:
-            h, c = np.unique(np.concatenate(held or [np.empty(0, np.int64)]), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(h), pa.array(c.astype(np.int64))], ["h", "c"])
+            seen = np.flatnonzero(counts)
+            both = vocabulary.both()[seen]
+            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts[seen])], ["h", "g", "c"])
 
         for batch in sub_batches(batches, "text"):
-            found = [tokens(t) for t in batch.column("text").to_pylist()]
-            held += found
-            size += sum(map(len, found))
-            if size > 1 << 21:
+            if vocabulary.full():
                 yield flushed()
-                held, size = [], 0
+                vocabulary.reset()
+                counts = np.zeros(0, np.int64)
+            at, _ = _places(batch.column("text").to_pylist(), vocabulary)
+            more = np.bincount(at, minlength=len(vocabulary) + 1)
+            more[: len(counts)] += counts
+            counts = more
         yield flushed()
 
-    counted = _training(docs).select("text").mapInArrow(run, "h long, c long")
-    return checkpointed(counted.groupBy("h").agg(F.sum("c").alias("c")))
+    counted = _training(docs).select("text").mapInArrow(run, "h long, g long, c long")
+    return checkpointed(counted.groupBy("h", "g").agg(F.sum("c").alias("c")))
 
 
 def shared_counts(counts: DataFrame) -> Counts:
@@ -137,16 +215,20 @@ def shared_counts(counts: DataFrame) -> Counts:
         if r.n > room:
             break
         cut, room = r.step, room - r.n
-    top = counts.where(step >= cut).toPandas().sort_values(["c", "h"], ascending=[False, True])
-    h, c = top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64)
+    top = counts.where(step >= cut).toPandas().sort_values(["c", "h", "g"], ascending=[False, True, True])
+    hashes, c = top[["h", "g"]].to_numpy(np.int64), top["c"].to_numpy(np.int64)
     alone, left = 0, int(totals[0] or 0)
-    while alone < min(len(h), CLASSES // 3) and c[alone] * (CLASSES - alone) >= left:
+    while alone < min(len(c), CLASSES // 3) and c[alone] * (CLASSES - alone) >= left:
         left -= int(c[alone])
         alone += 1
-    classes = alone + (h & ((1 << _ENDING) - 1)) % (CLASSES - alone)
+    classes = alone + (hashes[:, 0] & ((1 << _ENDING) - 1)) % (CLASSES - alone)
     classes[:alone] = np.arange(alone)
-    order = np.argsort(h)
-    return Counts(int(totals[0] or 0), int(totals[1]), h[order], c[order], classes[order], alone)
+    outcomes = np.zeros(len(c), np.int64)
+    for k in range(alone, CLASSES):
+        chosen = np.flatnonzero(classes == k)[: CLASSES - 1]
+        outcomes[chosen] = np.arange(1, len(chosen) + 1)
+    order = np.lexsort((hashes[:, 1], hashes[:, 0]))
+    return Counts(int(totals[0] or 0), int(totals[1]), hashes[order], c[order], classes[order], outcomes[order], alone)
 
 
 def _earlier(values: np.ndarray, starts: np.ndarray, steps: int, before: int) -> np.ndarray:
@@ -159,89 +241,108 @@ def _earlier(values: np.ndarray, starts: np.ndarray, steps: int, before: int) ->
     return out
 
 
-def features(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """(token, ``FEATURES``) rows of weights; ``starts`` are the places of the texts' first tokens."""
-    word = _earlier(hashes, starts, 1, END)
+def _mixed(values: np.ndarray, kind: int) -> np.ndarray:
+    """Hashed rows 1 to ROWS - 1."""
+    with np.errstate(over="ignore"):
+        x = (values.view(np.uint64) + np.uint64(kind)) * np.uint64(0x9E3779B97F4A7C15)
+        x ^= x >> np.uint64(29)
+        return ((x * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)) % np.uint64(ROWS - 1)).astype(np.int64) + 1
+
+
+def class_rows(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(token, ``CLASS_FEATURES``) rows of weights for the class; ``starts`` are the places of the texts' first tokens."""
+    word = _earlier(hashes, starts, 1, END[0])
     a, b, c = (_earlier(classes, starts, k, CLASSES) for k in (1, 2, 3))
     pair = b * (CLASSES + 1) + c
     trio = (a + 1) * (CLASSES + 1) ** 2 + pair
-    out = np.empty((len(hashes), FEATURES), np.int64)
+    return np.stack([_mixed(x, kind) for kind, x in enumerate((word, trio, pair))], 1)
+
+
+def word_rows(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """(token, ``WORD_FEATURES``) rows of weights for the word in its class."""
     with np.errstate(over="ignore"):
-        for column, values in enumerate((word, trio, pair)):
-            x = (values.view(np.uint64) + np.uint64(column)) * np.uint64(0x9E3779B97F4A7C15)
-            x ^= x >> np.uint64(29)
-            out[:, column] = (x * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(40)) % np.uint64(ROWS - 1) + 1
-    return out
+        own = (classes + 1) * np.int64(0x2545F4914F6CDD1D)
+        found = [_mixed(_earlier(hashes, starts, steps, END[0]) ^ own, 8 + steps) for steps in (1, 2)]
+    return np.stack([ROWS + CLASSES + x % (ROWS - CLASSES) for x in found], 1)
 
 
-def log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    x = weights.take(rows[:, 0], axis=0)
-    x += weights[0]
-    for column in range(1, FEATURES):
-        x += weights.take(rows[:, column], axis=0)
+def log_softmax(weights: np.ndarray, base: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Logarithms of the outcomes' probabilities: the constant row ``base`` and the ``rows`` of each token are added up."""
+    x = weights.take(base, axis=0)
+    for column in rows.T:
+        x += weights.take(column, axis=0)
     x -= x.max(1, keepdims=True)
     x -= np.log(np.exp(x) @ np.ones((x.shape[1], 1), x.dtype))
     return x
 
 
-def update(weights: np.ndarray, squares: np.ndarray, rows: np.ndarray, classes: np.ndarray, rate: float = RATE) -> None:
+def update(weights: np.ndarray, squares: np.ndarray, base: np.ndarray, rows: np.ndarray, outcomes: np.ndarray, rate: float = RATE) -> None:
     """One step on a minibatch, each row of weights at its own rate (Adagrad over rows)."""
-    slope = np.exp(log_softmax(weights, rows))
-    slope[np.arange(len(classes)), classes] -= 1
+    if not len(rows):
+        return
+    slope = np.exp(log_softmax(weights, base, rows))
+    slope[np.arange(len(outcomes)), outcomes] -= 1
+    constants = np.arange(base.min(), base.max() + 1)
     flat = rows.ravel().astype(np.uint16)
     order = np.argsort(flat, kind="stable")
     ordered = flat[order]
     first = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-    summed = np.add.reduceat(slope.take(order // FEATURES, axis=0), first, axis=0)
-    touched = np.concatenate(([0], ordered[first].astype(np.int64)))
-    summed = np.concatenate((slope.sum(0, keepdims=True), summed))
-    squares[touched] += (summed * summed).mean(1)
+    pairs = slope.take(order // rows.shape[1], axis=0).view(np.complex64)  # two numbers are added at a time
+    summed = np.concatenate(((base == constants[:, None]).astype(np.float32) @ slope, np.add.reduceat(pairs, first, axis=0).view(np.float32)))
+    touched = np.concatenate((constants, ordered[first].astype(np.int64)))
+    squares[touched] += np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
     weights[touched] -= rate * summed / np.sqrt(squares[touched])[:, None]
 
 
-def _joined(texts: list) -> tuple[np.ndarray, np.ndarray]:
-    """Tokens of all texts and the place of each text's first token."""
-    found = [tokens(t) for t in texts]
-    sizes = np.fromiter(map(len, found), np.int64, len(found))
-    return np.concatenate(found or [np.empty(0, np.int64)]), np.cumsum(sizes) - sizes
-
-
 def trained(docs: DataFrame, counts: Counts, rounds: int = ROUNDS) -> np.ndarray:
-    """Weights (``ROWS``, ``CLASSES``); fixed in size, however many texts there are."""
+    """Weights (2 * ``ROWS``, ``CLASSES``), of the classes and of the words; fixed in size, however many texts there are.
+
+    A round has the texts whose ids' hashes fall to it. Tasks also average the sums of squares that set the rates.
+    """
     context = docs.sparkSession.sparkContext
-    weights = np.zeros((ROWS, CLASSES), np.float32)
+    weights, squares = np.zeros((2 * ROWS, CLASSES), np.float32), np.ones(2 * ROWS, np.float32)
+    used = np.zeros(CLASSES, np.int64)
+    np.maximum.at(used, counts.classes, counts.outcomes)
+    weights[ROWS : ROWS + CLASSES][np.arange(CLASSES) > used[:, None]] = -1e4  # outcomes that a class lacks have no chance
     known = context.broadcast(counts)
-    for _ in range(rounds):
-        start = context.broadcast(weights)
+    size = 2 * ROWS // SLICES
+    texts = _training(docs).withColumn("turn", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)))
+    for turn in range(rounds):
+        start = context.broadcast((weights, squares))
 
         def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
-            own, squares, seen = start.value.copy(), np.ones(ROWS, np.float32), 0
+            before = start.value
+            own, seen, words = [x.copy() for x in before], 0, Words(known.value)
             for batch in sub_batches(batches, "text", 1 << 20):
-                hashes, starts = _joined(batch.column("text").to_pylist())
-                classes = known.value.class_of(hashes, known.value.places(hashes))
-                rows = features(hashes, classes, starts)
-                for at in range(0, len(hashes), BATCH):
-                    update(own, squares, rows[at : at + BATCH], classes[at : at + BATCH])
-                seen += len(hashes)
+                at, starts = words.of(batch.column("text").to_pylist())
+                hashes, classes, outcomes = words.hashes[at, 0], words.classes[at], words.outcomes[at]
+                by_class, by_word = class_rows(hashes, classes, starts), word_rows(hashes, classes, starts)
+                inside = classes >= words.known.alone
+                for a in range(0, len(at), BATCH):
+                    part = slice(a, a + BATCH)
+                    update(*own, np.zeros_like(classes[part]), by_class[part], classes[part])
+                    chosen = np.flatnonzero(inside[part]) + a
+                    update(*own, ROWS + classes[chosen], by_word[chosen], outcomes[chosen])
+                seen += len(at)
             if seen:
                 task = TaskContext.get().partitionId()
-                parts = [((p - q) * seen).astype(np.float32).tobytes() for p, q in zip(np.split(own, SLICES), np.split(start.value, SLICES), strict=True)]
+                moves = [((x - y) * seen).astype(np.float32) for x, y in zip(own, before, strict=True)]
+                parts = [w.tobytes() + s.tobytes() for w, s in zip(*(np.split(m, SLICES) for m in moves), strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(range(SLICES), pa.int32()), pa.array([task % _SALTS] * SLICES, pa.int32()), pa.array([seen] * SLICES, pa.int64()), pa.array(parts, pa.binary())],
                     ["slice", "salt", "seen", "delta"],
                 )
 
         schema = "slice int, salt int, seen long, delta binary"
-        moved = _training(docs).select("text").mapInArrow(run, schema)
+        moved = texts.where(F.col("turn") == turn).select("text").mapInArrow(run, schema)
         for keys in (["slice", "salt"], ["slice"]):
             moved = moved.groupBy(*keys).applyInPandas(_added, schema)
-        found = moved.collect()
-        if not found:
-            break
-        weights = weights.copy()
-        for r in found:
-            size = ROWS // SLICES
-            weights[r["slice"] * size : (r["slice"] + 1) * size] += np.frombuffer(r.delta, np.float32).reshape(size, CLASSES) / r.seen
+        weights, squares = weights.copy(), squares.copy()
+        for r in moved.collect():
+            part = slice(r["slice"] * size, (r["slice"] + 1) * size)
+            delta = np.frombuffer(r.delta, np.float32) / r.seen
+            weights[part] += delta[:-size].reshape(size, CLASSES)
+            squares[part] += delta[-size:]
         start.unpersist()
     return weights
 
@@ -260,16 +361,20 @@ def _added(rows: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def class_totals(counts: DataFrame, known: Counts) -> tuple[np.ndarray, np.ndarray]:
-    """Training tokens and distinct words of each class."""
+    """Training tokens and distinct words of each class, without the words that are outcomes of their own."""
     shared = counts.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, CLASSES), np.int64)
         for batch in batches:
-            h, c = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("h", "c"))
-            own = shared.value.class_of(h, shared.value.places(h))
-            sums[0] += np.bincount(own, c, CLASSES).astype(np.int64)
-            sums[1] += np.bincount(own, minlength=CLASSES)
+            h, g, c = (batch.column(n).to_numpy(zero_copy_only=False) for n in ("h", "g", "c"))
+            hashes = np.stack((h, g), 1)
+            places = shared.value.places(hashes)
+            own = shared.value.class_of(hashes, places)
+            escaped = np.ones(len(h), bool)
+            escaped[places >= 0] = shared.value.outcomes[places[places >= 0]] == 0
+            sums[0] += np.bincount(own[escaped], c[escaped], CLASSES).astype(np.int64)
+            sums[1] += np.bincount(own[escaped], minlength=CLASSES)
         yield pa.RecordBatch.from_arrays([pa.array(range(CLASSES), pa.int32()), pa.array(sums[0]), pa.array(sums[1])], ["k", "c", "v"])
 
     found = counts.mapInArrow(run, "k int, c long, v long").groupBy("k").agg(F.sum("c").alias("c"), F.sum("v").alias("v")).collect()
@@ -289,9 +394,23 @@ class Model(NamedTuple):
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.5) / (self.known.total + 0.5 * (self.known.distinct + 1)))
 
-    def within(self, counts: np.ndarray, classes: np.ndarray) -> np.ndarray:
-        """log10 of a word's share of its class; a class has one unseen word for smoothing."""
-        return np.log10((counts + 0.5) / (self.class_tokens[classes] + 0.5 * (self.class_words[classes] + 1)))
+    def norms(self) -> np.ndarray:
+        """log10 of what a word's count plus a half is divided by for its share of its class's escape.
+
+        Each class has one unseen word, so that the shares of all words add up to one.
+        """
+        return np.log10(self.class_tokens + 0.5 * (self.class_words + 1))
+
+    def chosen(self, hashes: np.ndarray, classes: np.ndarray, outcomes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """log10 of the probability of each token's class and of its outcome there; a class of one word has no outcomes."""
+        out = np.empty(len(hashes))
+        by_class, by_word = class_rows(hashes, classes, starts), word_rows(hashes, classes, starts)
+        for at in range(0, len(hashes), _TOKENS):
+            part = np.arange(at, min(at + _TOKENS, len(hashes)))
+            out[part] = log_softmax(self.weights, np.zeros_like(part), by_class[part])[np.arange(len(part)), classes[part]]
+            part = part[classes[part] >= self.known.alone]
+            out[part] += log_softmax(self.weights, ROWS + classes[part], by_word[part])[np.arange(len(part)), outcomes[part]]
+        return out / math.log(10)
 
 
 def fit(docs: DataFrame) -> Model:
@@ -308,66 +427,66 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
     return; other columns are ignored; an empty table gives none.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model._replace(counts=None))
-    schema = "h long, kind int, times long, class int, row long, doc_id long, n_tokens long, n_known long, base double, score double"
-    names = [f.split()[0] for f in schema.split(", ")]
+    doc = "struct<doc_id:long,n_tokens:long,n_known:long,base:double,score:double>"
+    schema = f"h long, g long, times long, class int, row long, doc {doc}"
+    names = ["h", "g", "times", "class", "row", "doc"]
+    kind = pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, number = shared.value, TaskContext.get().partitionId() << 40
+        words, norms = Words(m.known), m.norms()
         for batch in sub_batches(batches, "text", 1 << 20):
-            ids = batch.column("doc_id")
-            hashes, starts = _joined(batch.column("text").to_pylist())
+            at, starts = words.of(batch.column("text").to_pylist())
             if not len(starts):
                 continue
-            owner = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(hashes))))
-            places = m.known.places(hashes)
-            classes = m.known.class_of(hashes, places)
-            rows = features(hashes, classes, starts)
-            chosen = np.empty(len(hashes))
-            for at in range(0, len(hashes), _TOKENS):
-                end = at + _TOKENS
-                chosen[at:end] = log_softmax(m.weights, rows[at:end])[np.arange(len(rows[at:end])), classes[at:end]]
-            score = np.bincount(owner, chosen / math.log(10), len(starts))
+            n = len(starts)
+            total = np.diff(np.append(starts, len(at)))
+            owner = np.repeat(np.arange(n), total)
+            places, classes, outcomes = words.places[at], words.classes[at], words.outcomes[at]
+            score = np.bincount(owner, m.chosen(words.hashes[at, 0], classes, outcomes, starts), n)
             often = np.flatnonzero(places >= 0)
             seen = m.known.counts[places[often]] if often.size else np.empty(0, np.int64)
-            base = np.bincount(owner[often], m.base(seen), len(starts)).astype(float)
-            score += np.bincount(owner[often], m.within(seen, classes[often]), len(starts)).astype(float)
-            known = np.bincount(owner[often], minlength=len(starts))
-            total = np.bincount(owner, minlength=len(starts))
-            row = number + np.arange(len(starts))
-            number += len(starts)
+            base = np.bincount(owner[often], m.base(seen), n).astype(float)
+            shares = np.where(outcomes[often] > 0, 0.0, np.log10(seen + 0.5) - norms[classes[often]])
+            score += np.bincount(owner[often], shares, n)
+            known = np.bincount(owner[often], minlength=n)
+            row = number + np.arange(n)
+            number += n
             spread = (row * -7046029254386353131).astype(np.int64)
-            zero = np.zeros(len(starts), np.int64)
-            yield _rows(names, spread, zero.astype(np.int32), zero, zero.astype(np.int32), row, ids, total, known, base, score)
+            zero = np.zeros(n, np.int64)
+            docs_ = pa.StructArray.from_arrays([batch.column("doc_id"), *map(pa.array, (total, known, base, score))], fields=list(kind))
+            yield _rows(names, spread, zero, zero, zero.astype(np.int32), row, docs_)
             rare = np.flatnonzero(places < 0)
             if rare.size:
-                order = rare[np.lexsort((hashes[rare], owner[rare]))]
-                h, o = hashes[order], owner[order]
-                first = np.flatnonzero(np.concatenate(([True], (h[1:] != h[:-1]) | (o[1:] != o[:-1]))))
-                times = np.diff(np.append(first, len(h)))
-                one = np.ones(len(first), np.int32)
-                none = np.zeros(len(first), np.int64)
-                yield _rows(names, h[first], one, times, classes[order][first].astype(np.int32), row[o[first]], pa.nulls(len(first), pa.int64()), none, none, none.astype(float), none.astype(float))
+                key, times = np.unique(owner[rare] * len(words.places) + at[rare], return_counts=True)
+                whose, word = np.divmod(key, len(words.places))
+                both = words.hashes[word]
+                yield _rows(names, both[:, 0], both[:, 1], times, words.classes[word].astype(np.int32), row[whose], pa.nulls(len(key), kind))
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
     known = model.known
-    counts = model.counts.select(F.col("h").alias("__h"), "c")
-    joined = rows.join(counts, (F.col("h") == F.col("__h")) & (F.col("kind") == 1), "left")
+    counts = model.counts.select(F.col("h").alias("__h"), F.col("g").alias("__g"), "c")
+    word = F.col("times") > 0
+    joined = rows.join(counts, (F.col("h") == F.col("__h")) & (F.col("g") == F.col("__g")) & word, "left")
     c = F.coalesce("c", F.lit(0)).cast("double")
-    word = F.col("kind") == 1
     log = F.log10(c + 0.5)
     base = F.col("times") * (log - math.log10(known.total + 0.5 * (known.distinct + 1)))
-    norms = np.log10(model.class_tokens + 0.5 * (model.class_words + 1))
-    norm = F.element_at(F.array(*[F.lit(float(x)) for x in norms]), F.col("class") + 1)
-    inside = F.col("times") * (log - norm)
+    norm = F.element_at(F.array(*[F.lit(float(x)) for x in model.norms()]), F.col("class") + 1)
     found = joined.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(word & (c > 0), F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.when(word, base).otherwise(0.0)).alias("base_score"),
-        F.sum(F.col("score") + F.when(word, inside).otherwise(0.0)).alias("score"),
+        F.max("doc").alias("doc"),
+        F.sum(F.when(word & (c > 0), F.col("times")).otherwise(0)).alias("known"),
+        F.sum(F.when(word, base).otherwise(0.0)).alias("base"),
+        F.sum(F.when(word, F.col("times") * (log - norm)).otherwise(0.0)).alias("inside"),
+    )
+    return found.select(
+        F.col("doc.doc_id").alias("doc_id"),
+        (remainder_column("doc.doc_id", 5) == 1).alias("held_out"),
+        F.col("doc.n_tokens").alias("n_tokens"),
+        (F.col("doc.n_known") + F.col("known")).alias("n_known"),
+        F.lit(known.total).cast("long").alias("train_tokens"),
+        (F.col("doc.base") + F.col("base")).alias("base_score"),
+        (F.col("doc.score") + F.col("inside")).alias("score"),
     )
-    held = (remainder_column("doc_id", 5) == 1).alias("held_out")
-    return found.select("doc_id", held, "n_tokens", "n_known", F.lit(known.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
 def _rows(names: list[str], *columns) -> pa.RecordBatch:

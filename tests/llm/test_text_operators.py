@@ -396,7 +396,7 @@ def test_simhash_links_of_a_large_bucket(spark):
 def test_maxent(docs, odd, empty):
     model = maxent.fit(docs)
     found = maxent.scored(docs, model).collect()
-    split = lambda t: WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in t or "")) + [None]
+    split = lambda t: [*lowered_words(t), None]
     held = lambda i: zlib.crc32(b"" if i is None else str(i).encode()) % 5 == 1
     counts = Counter()
     for i, t, *_ in odd:
@@ -420,30 +420,145 @@ def test_maxent_beats_counts_on_held_out_texts(spark):
     assert found.s > found.b
 
 
-def test_maxent_classes_add_up():
+def lowered_words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+
+
+class BruteMaxent:
+    """The model's probabilities word by word, from its weights and a plain count of the training words."""
+
+    def __init__(self, model, rows):
+        self.model, self.vocabulary = model, maxent.Vocabulary()
+        self.counts = Counter()
+        for i, t, *_ in rows:
+            if zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1:
+                self.counts.update([*lowered_words(t), None])
+        self.rest = {}
+        for w, c in self.counts.items():
+            _, k, outcome, _ = self.word(w)
+            if not outcome:
+                tokens, words = self.rest.get(k, (0, 0))
+                self.rest[k] = tokens + c, words + 1
+
+    def word(self, w):
+        """(first hash, class, outcome, place among the frequent words)."""
+        at = 0 if w is None else self.vocabulary[w.encode()]
+        both = self.vocabulary.both()[at : at + 1]
+        place = self.model.known.places(both)
+        return int(both[0, 0]), int(self.model.known.class_of(both, place)[0]), int(self.model.known.outcomes[place[0]]) if place[0] >= 0 else 0, place[0]
+
+    def softmax(self, rows):
+        x = [sum(float(self.model.weights[r, k]) for r in rows) for k in range(maxent.CLASSES)]
+        top = max(x)
+        total = math.log(sum(math.exp(v - top) for v in x)) + top
+        return [v - total for v in x]
+
+    def log10(self, before, w):
+        """Of word ``w`` after the words ``before`` of its text; None is the text's end."""
+        import numpy as np
+
+        found = [self.word(x) for x in [*before, w]]
+        hashes, classes = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
+        start = np.array([0])
+        _, k, outcome, _ = found[-1]
+        out = self.softmax([0, *maxent.class_rows(hashes, classes, start)[-1]])[k]
+        if k >= self.model.known.alone:
+            out += self.softmax([maxent.ROWS + k, *maxent.word_rows(hashes, classes, start)[-1]])[outcome]
+        if not outcome:
+            tokens, words = self.rest.get(k, (0, 0))
+            out += math.log((self.counts[w] + 0.5) / (tokens + 0.5 * (words + 1)))
+        return out / math.log(10)
+
+
+def test_maxent_score_is_the_models(docs, odd):
+    """Scores against word by word evaluation, and the probabilities of all words with one unseen to a class add up to 1."""
+    model = maxent.fit(docs)
+    brute = BruteMaxent(model, odd)
+    found = {r.doc_id: r.score for r in maxent.scored(docs, model).collect() if r.doc_id is not None}
+    texts = {i: t for i, t, *_ in odd}
+    for i in (0, 3, 100, 101, 102, 107, 108, 110):
+        words = [*lowered_words(texts[i]), None]
+        assert found[i] == pytest.approx(sum(brute.log10(words[:k], w) for k, w in enumerate(words)), rel=1e-5)
+    unseen = {}
+    for n in range(4000):
+        k = brute.word(f"unseen{n:x}")[1]
+        unseen.setdefault(k, f"unseen{n:x}")
+    assert set(unseen) == set(range(model.known.alone, maxent.CLASSES))
+    for before in ([], lowered_words(texts[3])[:5]):
+        total = sum(10 ** brute.log10(before, w) for w in [*brute.counts, *unseen.values()])
+        # A class of one word has no unseen word of its own here.
+        missing = sum(math.exp(brute.softmax([0, *rows_of(brute, before)])[k]) * 0.5 / (brute.rest[k][0] + 1) for k in range(model.known.alone))
+        assert total + missing == pytest.approx(1, abs=1e-4)
+
+
+def rows_of(brute, before):
+    import numpy as np
+
+    found = [brute.word(x) for x in [*before, None]]
+    hashes, classes = (np.array([f[i] for f in found], np.int64) for i in (0, 1))
+    return maxent.class_rows(hashes, classes, np.array([0]))[-1]
+
+
+def test_maxent_gradient():
+    """One step of a minibatch is the plain sum of its tokens' gradients, row by row."""
     import numpy as np
 
     rng = np.random.default_rng(0)
-    weights = rng.standard_normal((maxent.ROWS, maxent.CLASSES)).astype(np.float32)
-    rows = rng.integers(0, maxent.ROWS, (50, maxent.FEATURES))
-    assert np.exp(maxent.log_softmax(weights, rows)).sum(1) == pytest.approx(np.ones(50), abs=1e-4)
+    weights = rng.standard_normal((2 * maxent.ROWS, maxent.CLASSES)).astype(np.float32)
+    rows = rng.integers(1, 40, (300, 2))
+    base, outcomes = rng.integers(maxent.ROWS, maxent.ROWS + 5, 300), rng.integers(0, maxent.CLASSES, 300)
+    p = np.exp(maxent.log_softmax(weights, base, rows)).astype(float)
+    assert p.sum(1) == pytest.approx(np.ones(300), abs=1e-4)
+    slope = p - np.eye(maxent.CLASSES)[outcomes]
+    total, moved, squares = np.zeros(weights.shape), weights.copy(), np.ones(len(weights), np.float32)
+    for t in range(300):
+        for r in (base[t], *rows[t]):
+            total[r] += slope[t]
+    maxent.update(moved, squares, base, rows, outcomes)
+    want = weights - maxent.RATE * total / np.sqrt(1 + (total**2).mean(1, keepdims=True))
+    assert moved == pytest.approx(want, abs=1e-3)
 
 
 def brute_phrases(text, sample):
-    """Greedy longest matches, lane by lane."""
-    lanes = [text[i : i + langid.LANE] for i in range(0, len(text), langid.LANE)]
-    count = 0
-    for lane in lanes:
-        i = 0
-        while i < len(lane):
-            size = 1
-            while i + size < len(lane) and lane[i : i + size + 1] in sample:
-                size += 1
-            count += 1
-            i += size
+    """Greedy longest matches over the whole text."""
+    i = count = 0
+    while i < len(text):
+        size = 1
+        while i + size < len(text) and text[i : i + size + 1] in sample:
+            size += 1
+        count += 1
+        i += size
     return count
 
 
+def test_cross_parsing_of_whole_texts(monkeypatch):
+    """Lanes change nothing, nor do texts that a sample holds in full, in which lanes have no phrase of their own."""
+    rng = random.Random(12)
+    words = ["".join(rng.choices("abcde", k=rng.randint(2, 6))) for _ in range(60)]
+    samples = {k: [" ".join(rng.choices(words, k=150)) for _ in range(2)] for k in ("xx", "yy", "zz")}
+    texts = [" ".join(rng.choices(words, k=n)) for n in (1, 3, 40, 400, 900)]
+    texts += [samples["xx"][0], samples["yy"][1] * 3, "q" * 300, samples["xx"][0][50:] + texts[2] + samples["zz"][0], "", "a"]
+    monkeypatch.setattr(langid, "LANE", 16)
+    monkeypatch.setattr(langid, "LANES", 7)
+    model = langid.Model(samples)
+    joined = ["  ".join(map(langid.normalised, samples[x])) for x in model.languages]
+    for most in (langid.MARKS, 1):
+        monkeypatch.setattr(langid, "MARKS", most)
+        found = model.phrases(texts)
+        for row, text in zip(found.tolist(), texts, strict=True):
+            assert row == [brute_phrases(langid.normalised(text) + " ", x) if text else 0 for x in joined]
+
+
+def test_language_of_long_texts_is_learned(spark):
+    """A language whose texts are all beyond the sample's length is learned from its shortest."""
+    rng = random.Random(2)
+    word = lambda letters: "".join(rng.choices(letters, k=5))
+    rows = [(i, " ".join(word("abcdef") for _ in range(60)), "short", "a") for i in range(30)]
+    rows += [(100 + i, " ".join(word("uvwxyz") for _ in range(1500 + i)), "long", "a") for i in range(30)]
+    found = langid.predicted(frame(spark, rows), langid.fit(frame(spark, rows))).collect()
+    assert all(r.lang_pred == ("long" if r.doc_id >= 100 else "short") for r in found)
+
+
 def test_cross_parsing():
     samples = {"xx": ["the cat sat on the mat and the dog ran", "a cat and a hat"], "yy": ["le chat est sur le tapis", "été à la plage"]}
     model = langid.Model(samples)
