@@ -2,9 +2,13 @@
 
 For each language, a suffix automaton of a labelled sample is built. A text is parsed from left to right into the longest
 phrases that occur in the sample; the language that needs the fewest phrases per character wins, phrases being weighed
-by the logarithm of the sample's length, the cost of pointing at one. Texts are parsed in lanes of fixed length, all
-lanes of a batch and all languages side by side: a step follows one character in every lane by a lookup in one hash table
-of transitions, whose size goes by the samples' characters and not by the number of different ones.
+by the logarithm of the sample's length, the cost of pointing at one.
+
+Whole texts are parsed, in lanes of fixed length, all lanes of a batch and all languages side by side: a step follows one
+character in every lane by a lookup in one hash table of transitions, whose size goes by the samples' characters and not by
+the number of different ones. A lane begins with a phrase of its own; the lane before it is then followed on until one of
+its phrases begins where one of the lane's does, from where on both parse alike. So the phrases of a text are those of a
+parse from its first character to its last, whatever the lanes' length.
 """
 
 from __future__ import annotations
@@ -18,8 +22,8 @@ from pyspark.sql import functions as F
 
 from rasterloom.llm.common import remainder, remainder_column, sub_batches, table
 
-#: The bounded labelled sample: documents of a language at most, characters of each document, characters of a language.
-SAMPLE_DOCS = 200
+#: The bounded labelled sample: whole documents of so many characters, or the shortest of a language that has none, and
+#: characters of a language.
 SAMPLE_DOC_CHARS = 4000
 SAMPLE_CHARS = 60_000
 #: Characters of all languages together, which many languages share evenly, and what each has however many there are.
@@ -29,6 +33,8 @@ LANE = 512
 LANES = 4096
 #: Lanes times languages that are parsed side by side.
 CELLS = 2_000_000
+#: Characters times languages whose phrases' beginnings are held at a time.
+MARKS = 32_000_000
 UNKNOWN = "und"
 
 
@@ -117,12 +123,17 @@ class Transitions:
         return out
 
 
+def sample_chars(languages: int) -> int:
+    """Characters of each language's sample."""
+    return max(LEAST_CHARS, min(SAMPLE_CHARS, TOTAL_CHARS // max(1, languages)))
+
+
 class Model:
     """Automata of several languages in one table; every character of a sample has a code."""
 
     def __init__(self, samples: dict[str, list[str]]) -> None:
         self.languages = sorted(samples)
-        most = max(LEAST_CHARS, min(SAMPLE_CHARS, TOTAL_CHARS // max(1, len(samples))))
+        most = sample_chars(len(samples))
         joined = {k: "  ".join(normalised(t) for t in v)[:most] for k, v in samples.items()}
         self.codes = {c: i + 1 for i, c in enumerate(sorted({" ", *"".join(joined.values())}))}
         self.classes = len(self.codes) + 1
@@ -163,39 +174,91 @@ class Model:
         return codes[keep], np.diff(kept)
 
     def phrases(self, texts: list[str]) -> np.ndarray:
-        """(text, language) phrases, each lane of ``LANE`` characters being parsed on its own; 0 without a letter."""
+        """(text, language) phrases of each whole text; 0 without a letter."""
         out = np.zeros((len(texts), len(self.languages)), np.int64)
         codes, sizes = self.encoded(texts)
-        codes = np.concatenate((codes, np.zeros(LANE, np.int32)))
         lanes = -(-sizes // LANE)
+        if not lanes.sum():
+            return out
         owner = np.repeat(np.arange(len(texts)), lanes)
         within = np.arange(owner.size) - np.repeat(np.cumsum(lanes) - lanes, lanes)
         start = np.repeat(np.cumsum(sizes) - sizes, lanes) + within * LANE
-        size = np.minimum(LANE, np.repeat(sizes, lanes) - within * LANE)
+        width = max(1, MARKS // codes.size)
+        for at in range(0, out.shape[1], width):
+            out[:, at : at + width] = self._counted(codes, sizes, owner, start, self.starts[at : at + width])
+        return out
+
+    def _counted(self, codes: np.ndarray, sizes: np.ndarray, owner: np.ndarray, start: np.ndarray, roots: np.ndarray) -> np.ndarray:
+        """(text, root) phrases, from lanes that begin at ``start`` in the texts ``owner``."""
+        begun = np.zeros((codes.size, roots.size), bool)
+        ends = np.cumsum(sizes)
+        size = np.minimum(LANE, ends[owner] - start)
+        state = np.empty((owner.size, roots.size), np.int64)
         order = np.argsort(-size, kind="stable")
-        most = max(1, min(LANES, CELLS // max(1, len(self.languages))))
+        most = max(1, min(LANES, CELLS // roots.size))
         for at in range(0, order.size, most):
             chosen = order[at : at + most]
-            np.add.at(out, owner[chosen], self._parse(codes, start[chosen], size[chosen]))
+            state[chosen] = self._parse(codes, start[chosen], size[chosen], roots, begun)
+        joins = np.flatnonzero(owner[1:] == owner[:-1])
+        more, meet = self._followed(codes, start[joins + 1], ends[owner[joins]], state[joins], roots, begun)
+        out = np.empty((sizes.size, roots.size), np.int64)
+        lane_of_text = np.searchsorted(owner, np.arange(sizes.size))
+        for k in range(roots.size):
+            seen = np.concatenate(([0], np.cumsum(begun[:, k])))
+            out[:, k] = seen[ends] - seen[ends - sizes]
+            change = more[:, k] - (seen[meet[:, k]] - seen[start[joins + 1]])
+            at = owner[joins]
+            lane = np.where(meet[:, k] < ends[at], lane_of_text[at] + (meet[:, k] - (ends - sizes)[at]) // LANE, owner.size)
+            last = np.append(owner[1:] != owner[:-1], True)[joins + 1]
+            plain = (lane == joins + 1) | (last & (lane == owner.size))
+            odd = np.zeros(sizes.size, bool)
+            odd[at[~plain]] = True
+            out[:, k] += np.bincount(at[~odd[at]], change[~odd[at]], sizes.size).astype(np.int64)
+            join_of = dict(zip(joins[odd[at]].tolist(), np.flatnonzero(odd[at]).tolist(), strict=True))
+            for text in np.flatnonzero(odd):  # lanes that no phrase begins in are passed over
+                join = join_of.get(int(lane_of_text[text]))
+                while join is not None:
+                    out[text, k] += change[join]
+                    join = join_of.get(int(lane[join]))
         return out
 
-    def _parse(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-        """Lanes come with the longest first; those that have ended drop off the end."""
-        state = np.repeat(self.starts[None, :], start.size, 0)
-        count = np.ones(state.shape, np.int32)
+    def _parse(self, codes: np.ndarray, start: np.ndarray, size: np.ndarray, roots: np.ndarray, begun: np.ndarray) -> np.ndarray:
+        """The states behind the lanes' last characters; marks where phrases have begun. The longest lanes come first."""
+        state = np.repeat(roots[None, :], start.size, 0)
+        begun[start] = True
         ends = np.searchsorted(-size, -np.arange(LANE), "left")
         for step in range(int(size[0])):
             live = ends[step]
             code = codes[start[:live] + step].astype(np.int64)
             found = self.table.find((state[:live] + code[:, None]).ravel())
             missed = np.flatnonzero(found < 0)
-            lane, language = np.divmod(missed, self.starts.size)
-            if step:
-                count[lane, language] += 1
-            again = self.table.find(self.starts[language] + code[lane])
+            lane, language = np.divmod(missed, roots.size)
+            begun[start[lane] + step, language] = True
+            again = self.table.find(roots[language] + code[lane])
             found[missed] = np.where(again < 0, self.dead, again)
             state[:live] = found.reshape(live, -1)
-        return count
+        return state
+
+    def _followed(self, codes: np.ndarray, at: np.ndarray, ends: np.ndarray, state: np.ndarray, roots: np.ndarray, begun: np.ndarray):
+        """Parses on from ``at`` until a phrase begins where one is marked: (phrases begun before, the place), by row and root."""
+        more, meet = np.zeros(state.shape, np.int64), np.repeat(ends[:, None], roots.size, 1)
+        row, k = (x.ravel() for x in np.indices(state.shape))
+        at, state = np.repeat(at, roots.size), state.ravel()
+        while row.size:
+            code = codes[at].astype(np.int64)
+            found = self.table.find(state + code)
+            missed = found < 0
+            met = np.zeros(row.size, bool)
+            met[missed] = begun[at[missed], k[missed]]
+            meet[row[met], k[met]] = at[met]
+            fresh = missed & ~met
+            more[row[fresh], k[fresh]] += 1
+            again = self.table.find(roots[k[fresh]] + code[fresh])
+            found[fresh] = np.where(again < 0, self.dead, again)
+            at = at + 1
+            on = ~met & (at < ends[row])
+            row, k, at, state = row[on], k[on], at[on], found[on]
+        return more, meet
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Languages and scores; a score is 0 at a tie with the runner-up and nears 1 as the runner-up needs more bits."""
@@ -215,21 +278,34 @@ class Model:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Learns from at most ``SAMPLE_DOCS`` labelled documents of each language, spread over all by a hash of the id."""
+    """Learns from labelled documents of each language, spread over all by a hash of the id, up to :func:`sample_chars`.
+
+    Documents longer than ``SAMPLE_DOC_CHARS`` are not drawn, but for the shortest of a language that has no others.
+    """
     rows = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("text").cast("string"))
     rows = rows.where((remainder_column("doc_id", 3) != 1) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = rows.groupBy("lang").count().orderBy("lang").collect()
-    if not counts:
+    rows = rows.withColumn("size", F.length("text"))
+    fits = F.col("size").between(1, SAMPLE_DOC_CHARS)
+    stats = rows.groupBy("lang").agg(
+        F.count_if(fits).alias("n"), F.sum(F.when(fits, F.col("size"))).alias("chars"), F.min(F.when(F.col("size") > 0, F.col("size"))).alias("least")
+    )
+    stats = {r.lang: r for r in stats.collect()}
+    if not stats:
         return Model({})
-    chance = F.create_map(*[F.lit(x) for r in counts for x in (r.lang, min(1.0, 2 * SAMPLE_DOCS / r["count"]))])
-    draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / (1 << 30)
-    chars = max(LEAST_CHARS, min(SAMPLE_DOC_CHARS, TOTAL_CHARS // len(counts)))
-    sample = rows.where(draw < chance[F.col("lang")]).select("lang", "doc_id", F.substring("text", 1, chars).alias("text"))
-    best = sample.groupBy("lang", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)).alias("at")).agg(F.min("text").alias("text"))
-    found: dict[str, list] = {}
-    for r in best.collect():
-        found.setdefault(r.lang, []).append((r["at"], r.text))
-    return Model({k: [t for _, t in sorted(v)[:SAMPLE_DOCS]] for k, v in found.items()})
+    most = sample_chars(len(stats))
+    # Twice the documents that fill the sample on average.
+    chance = {k: min(1.0, 2 * (most / r.chars + 1 / r.n)) if r.n else 0.0 for k, r in stats.items()}
+    column = lambda found: F.create_map(*[F.lit(x) for pair in found.items() for x in pair])[F.col("lang")]
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
+    drawn = fits & (at / (1 << 30) < column(chance))
+    none = {k: r.least for k, r in stats.items() if not r.n and r.least}
+    if none:
+        drawn = drawn | (F.col("size") == column(none))
+    sample = rows.where(drawn).select("lang", F.when(fits, at).otherwise(F.lit(0)).alias("at"), F.substring("text", 1, max(SAMPLE_CHARS, SAMPLE_DOC_CHARS)).alias("text"))
+    found: dict[str, list] = {k: [] for k in stats}
+    for r in sample.groupBy("lang", "at").agg(F.min("text").alias("text")).collect():
+        found[r.lang].append((r["at"], r.text))
+    return Model({k: [t for _, t in sorted(v)] for k, v in found.items()})
 
 
 def predicted(docs: DataFrame, model: Model) -> DataFrame:
