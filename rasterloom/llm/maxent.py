@@ -16,14 +16,13 @@ a shuffle by word; only the bounded table of frequent words and the weights, of
 from __future__ import annotations
 
 import math
-from array import array
 from collections.abc import Iterator
-from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -44,16 +43,21 @@ CLASS_FEATURES, WORD_FEATURES = 3, 2
 ROUNDS = 4
 RATE = 0.3
 BATCH = 1 << 12
-#: Slices in which tasks hand on their weights.
+#: Slices in which tasks hand on their weights, and the tokens that a task trains on, so that these are few against its texts.
 SLICES = 64
-_CACHE = 200_000
-_CACHED_BYTES = 32 << 20
+TASK_TOKENS = 2_000_000
+#: Bound of a weight, so that no sum of a token's rows over- or underflows.
+LIMIT = 10.0
+#: Weights below this mark outcomes that a class lacks.
+_LACKING = -5000.0
 _SALTS = 8
-_TOKENS = 1 << 15
+_TOKENS = 1 << 12
+#: Bytes of text that are tokenized at a time, for counting and for the model.
+_BYTES, _MODEL_BYTES = 4 << 20, 2 << 20
 #: Low bits of a word's first hash that its ending decides.
 _ENDING = 10
 _PUNCTUATION = b".,;:!?\"')(#*$%&|<>"
-#: The hashes of the end of a text, which is word 0 of every vocabulary.
+#: The hashes of the end of a text, which is word 0 of every batch.
 END = (1, 0)
 
 
@@ -68,47 +72,36 @@ class _Endings(dict):
 _endings = _Endings()
 
 
-class Vocabulary(dict):
-    """Places of UTF-8 words, and their two 64-bit hashes by place; the ending decides the low bits of the first one."""
+class Tokens(NamedTuple):
+    """A batch's distinct words by their two 64-bit hashes, the place there of each token, and where each text begins."""
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.reset()
-
-    def reset(self) -> None:
-        self.clear()
-        self.digests, self.endings, self.bytes = bytearray(16), array("q", (0,)), 0
-
-    def __missing__(self, word: bytes) -> int:
-        core = word.rstrip(_PUNCTUATION)
-        self.digests += xxhash.xxh3_128_digest(word)
-        self.endings.append(_endings[core[-3:] if core == word else core[-2:] + word[-1:]])
-        self.bytes += len(word)
-        found = self[word] = len(self) + 1
-        return found
-
-    def full(self) -> bool:
-        return len(self) >= _CACHE or self.bytes >= _CACHED_BYTES
-
-    def both(self, since: int = 0) -> np.ndarray:
-        """(place, 2) hashes of the words from place ``since`` on."""
-        out = np.frombuffer(bytes(self.digests[16 * since :]), "<i8").reshape(-1, 2).copy()
-        out[:, 0] = (out[:, 0] >> _ENDING << _ENDING) | np.array(self.endings[since:], np.int64)
-        if not since:
-            out[0] = END
-        return out
-
-
-def _places(texts: list, vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray]:
-    """Places of all texts' words, A-Z lower-cased, each text with its end, and where each text begins."""
-    words = [[] if t is None else t.encode("utf-8", "surrogatepass").translate(LOWER).split() for t in texts]
-    sizes = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    starts = np.cumsum(sizes) - sizes
-    out = np.zeros(int(sizes.sum()), np.int64)
-    inside = np.ones(out.size, bool)
-    inside[starts + sizes - 1] = False
-    out[inside] = np.fromiter(map(vocabulary.__getitem__, chain.from_iterable(words)), np.int64, out.size - len(words))
-    return out, starts
+    hashes: np.ndarray
+    at: np.ndarray
+    starts: np.ndarray
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """(word, 2) 64-bit hashes; the ending decides the low bits of the first one."""
+    found = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, words)), "<i8").reshape(-1, 2).copy()
+    endings = [_endings[core[-3:] if (core := w.rstrip(_PUNCTUATION)) == w else core[-2:] + w[-1:]] for w in words]
+    found[:, 0] = (found[:, 0] >> _ENDING << _ENDING) | np.array(endings, np.int64)
+    return found
+
+
+def tokens(texts: pa.Array) -> Tokens:
+    """The words of all texts, A-Z lower-cased, each text with its end; a null text has its end alone."""
+    split = pa.compute.ascii_split_whitespace(pa.compute.ascii_lower(texts.fill_null("")))
+    words, cuts = split.flatten(), split.offsets.to_numpy() - split.offsets[0].as_py()
+    some = pa.compute.greater(pa.compute.binary_length(words), 0)
+    sizes = np.diff(np.concatenate(([0], np.cumsum(some.to_numpy(zero_copy_only=False))))[cuts])
+    coded = words.filter(some).dictionary_encode()
+    ends = np.cumsum(sizes + 1) - 1
+    at = np.zeros(int(sizes.sum()) + len(sizes), np.int64)
+    inside = np.ones(at.size, bool)
+    inside[ends] = False
+    at[inside] = coded.indices.to_numpy() + 1
+    hashes = np.concatenate((np.array([END], np.int64), word_hashes(coded.dictionary.cast(pa.binary()).to_pylist())))
+    return Tokens(hashes, at, ends - sizes)
 
 
 class Counts(NamedTuple):
@@ -144,32 +137,13 @@ class Counts(NamedTuple):
         return out
 
 
-class Words:
-    """A task's words: a vocabulary with the places, classes and outcomes of its words in the shared counts."""
-
-    def __init__(self, known: Counts) -> None:
-        self.known, self.vocabulary = known, Vocabulary()
-        self._start()
-
-    def _start(self) -> None:
-        self.vocabulary.reset()
-        self.hashes, self.places, self.classes, self.outcomes = np.empty((0, 2), np.int64), *(np.empty(0, np.int64) for _ in range(3))
-
-    def of(self, texts: list) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the texts' tokens in the arrays of this object, and where each text begins."""
-        if self.vocabulary.full():
-            self._start()
-        at, starts = _places(texts, self.vocabulary)
-        fresh = self.vocabulary.both(len(self.places))
-        places = self.known.places(fresh)
-        outcomes = np.zeros(len(fresh), np.int64)
+    def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places, classes and outcomes of words."""
+        places = self.places(hashes)
         often = places >= 0
-        outcomes[often] = self.known.outcomes[places[often]]
-        self.hashes = np.concatenate((self.hashes, fresh))
-        self.places = np.concatenate((self.places, places))
-        self.classes = np.concatenate((self.classes, self.known.class_of(fresh, places)))
-        self.outcomes = np.concatenate((self.outcomes, outcomes))
-        return at, starts
+        outcomes = np.zeros(len(hashes), np.int64)
+        outcomes[often] = self.outcomes[places[often]]
+        return places, self.class_of(hashes, places), outcomes
 
 
 def _training(docs: DataFrame) -> DataFrame:
@@ -178,26 +152,14 @@ def _training(docs: DataFrame) -> DataFrame:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(h, g, c): exact counts of the training tokens; each task adds up what its vocabulary holds before the shuffle."""
+    """(h, g, c): exact counts of the training tokens, added up by batch before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, counts = Vocabulary(), np.zeros(0, np.int64)
-
-        def flushed() -> pa.RecordBatch:
-            seen = np.flatnonzero(counts)
-            both = vocabulary.both()[seen]
-            return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts[seen])], ["h", "g", "c"])
-
-        for batch in sub_batches(batches, "text"):
-            if vocabulary.full():
-                yield flushed()
-                vocabulary.reset()
-                counts = np.zeros(0, np.int64)
-            at, _ = _places(batch.column("text").to_pylist(), vocabulary)
-            more = np.bincount(at, minlength=len(vocabulary) + 1)
-            more[: len(counts)] += counts
-            counts = more
-        yield flushed()
+        for batch in sub_batches(batches, "text", _BYTES):
+            found = tokens(batch.column("text"))
+            counts = np.bincount(found.at, minlength=len(found.hashes))
+            columns = [found.hashes[:, 0], found.hashes[:, 1], counts.astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["h", "g", "c"])
 
     counted = _training(docs).select("text").mapInArrow(run, "h long, g long, c long")
     return checkpointed(counted.groupBy("h", "g").agg(F.sum("c").alias("c")))
@@ -267,11 +229,13 @@ def word_rows(hashes: np.ndarray, classes: np.ndarray, starts: np.ndarray) -> np
 
 
 def log_softmax(weights: np.ndarray, base: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Logarithms of the outcomes' probabilities: the constant row ``base`` and the ``rows`` of each token are added up."""
+    """Logarithms of the outcomes' probabilities: the constant row ``base`` and the ``rows`` of each token are added up.
+
+    Four rows at ``LIMIT`` at most keep the exponentials within single precision.
+    """
     x = weights.take(base, axis=0)
     for column in rows.T:
         x += weights.take(column, axis=0)
-    x -= x.max(1, keepdims=True)
     x -= np.log(np.exp(x) @ np.ones((x.shape[1], 1), x.dtype))
     return x
 
@@ -291,7 +255,9 @@ def update(weights: np.ndarray, squares: np.ndarray, base: np.ndarray, rows: np.
     summed = np.concatenate(((base == constants[:, None]).astype(np.float32) @ slope, np.add.reduceat(pairs, first, axis=0).view(np.float32)))
     touched = np.concatenate((constants, ordered[first].astype(np.int64)))
     squares[touched] += np.einsum("ij,ij->i", summed, summed) / summed.shape[1]
-    weights[touched] -= rate * summed / np.sqrt(squares[touched])[:, None]
+    summed *= (rate / np.sqrt(squares[touched]))[:, None]
+    moved = weights.take(touched, axis=0) - summed
+    weights[touched] = np.where(moved < _LACKING, moved, np.clip(moved, -LIMIT, LIMIT))
 
 
 def trained(docs: DataFrame, counts: Counts, rounds: int = ROUNDS) -> np.ndarray:
@@ -303,21 +269,23 @@ def trained(docs: DataFrame, counts: Counts, rounds: int = ROUNDS) -> np.ndarray
     weights, squares = np.zeros((2 * ROWS, CLASSES), np.float32), np.ones(2 * ROWS, np.float32)
     used = np.zeros(CLASSES, np.int64)
     np.maximum.at(used, counts.classes, counts.outcomes)
-    weights[ROWS : ROWS + CLASSES][np.arange(CLASSES) > used[:, None]] = -1e4  # outcomes that a class lacks have no chance
+    weights[ROWS : ROWS + CLASSES][np.arange(CLASSES) > used[:, None]] = 2 * _LACKING  # outcomes that a class lacks have no chance
     known = context.broadcast(counts)
     size = 2 * ROWS // SLICES
+    tasks = counts.total // (rounds * TASK_TOKENS) + 1
     texts = _training(docs).withColumn("turn", F.pmod(F.xxhash64("doc_id"), F.lit(rounds)))
     for turn in range(rounds):
         start = context.broadcast((weights, squares))
 
         def run(batches: Iterator[pa.RecordBatch], start=start) -> Iterator[pa.RecordBatch]:
             before = start.value
-            own, seen, words = [x.copy() for x in before], 0, Words(known.value)
-            for batch in sub_batches(batches, "text", 1 << 20):
-                at, starts = words.of(batch.column("text").to_pylist())
-                hashes, classes, outcomes = words.hashes[at, 0], words.classes[at], words.outcomes[at]
+            own, seen = [x.copy() for x in before], 0
+            for batch in sub_batches(batches, "text", _MODEL_BYTES):
+                words, at, starts = tokens(batch.column("text"))
+                _, classes, outcomes = (x[at] for x in known.value.of(words))
+                hashes = words[at, 0]
                 by_class, by_word = class_rows(hashes, classes, starts), word_rows(hashes, classes, starts)
-                inside = classes >= words.known.alone
+                inside = classes >= known.value.alone
                 for a in range(0, len(at), BATCH):
                     part = slice(a, a + BATCH)
                     update(*own, np.zeros_like(classes[part]), by_class[part], classes[part])
@@ -334,7 +302,7 @@ def trained(docs: DataFrame, counts: Counts, rounds: int = ROUNDS) -> np.ndarray
                 )
 
         schema = "slice int, salt int, seen long, delta binary"
-        moved = texts.where(F.col("turn") == turn).select("text").mapInArrow(run, schema)
+        moved = texts.where(F.col("turn") == turn).select("text").coalesce(tasks).mapInArrow(run, schema)
         for keys in (["slice", "salt"], ["slice"]):
             moved = moved.groupBy(*keys).applyInPandas(_added, schema)
         weights, squares = weights.copy(), squares.copy()
@@ -434,16 +402,17 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, number = shared.value, TaskContext.get().partitionId() << 40
-        words, norms = Words(m.known), m.norms()
-        for batch in sub_batches(batches, "text", 1 << 20):
-            at, starts = words.of(batch.column("text").to_pylist())
-            if not len(starts):
+        norms = m.norms()
+        for batch in sub_batches(batches, "text", _MODEL_BYTES):
+            if not batch.num_rows:
                 continue
+            words, at, starts = tokens(batch.column("text"))
+            word_places, word_classes, word_outcomes = m.known.of(words)
             n = len(starts)
             total = np.diff(np.append(starts, len(at)))
             owner = np.repeat(np.arange(n), total)
-            places, classes, outcomes = words.places[at], words.classes[at], words.outcomes[at]
-            score = np.bincount(owner, m.chosen(words.hashes[at, 0], classes, outcomes, starts), n)
+            places, classes, outcomes = word_places[at], word_classes[at], word_outcomes[at]
+            score = np.bincount(owner, m.chosen(words[at, 0], classes, outcomes, starts), n)
             often = np.flatnonzero(places >= 0)
             seen = m.known.counts[places[often]] if often.size else np.empty(0, np.int64)
             base = np.bincount(owner[often], m.base(seen), n).astype(float)
@@ -458,10 +427,9 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
             yield _rows(names, spread, zero, zero, zero.astype(np.int32), row, docs_)
             rare = np.flatnonzero(places < 0)
             if rare.size:
-                key, times = np.unique(owner[rare] * len(words.places) + at[rare], return_counts=True)
-                whose, word = np.divmod(key, len(words.places))
-                both = words.hashes[word]
-                yield _rows(names, both[:, 0], both[:, 1], times, words.classes[word].astype(np.int32), row[whose], pa.nulls(len(key), kind))
+                key, times = np.unique(owner[rare] * len(words) + at[rare], return_counts=True)
+                whose, word = np.divmod(key, len(words))
+                yield _rows(names, words[word, 0], words[word, 1], times, word_classes[word].astype(np.int32), row[whose], pa.nulls(len(key), kind))
 
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
     known = model.known

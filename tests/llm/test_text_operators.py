@@ -428,7 +428,7 @@ class BruteMaxent:
     """The model's probabilities word by word, from its weights and a plain count of the training words."""
 
     def __init__(self, model, rows):
-        self.model, self.vocabulary = model, maxent.Vocabulary()
+        self.model = model
         self.counts = Counter()
         for i, t, *_ in rows:
             if zlib.crc32(b"" if i is None else str(i).encode()) % 5 != 1:
@@ -442,8 +442,9 @@ class BruteMaxent:
 
     def word(self, w):
         """(first hash, class, outcome, place among the frequent words)."""
-        at = 0 if w is None else self.vocabulary[w.encode()]
-        both = self.vocabulary.both()[at : at + 1]
+        import numpy as np
+
+        both = np.array([maxent.END]) if w is None else maxent.word_hashes([w.encode()])
         place = self.model.known.places(both)
         return int(both[0, 0]), int(self.model.known.class_of(both, place)[0]), int(self.model.known.outcomes[place[0]]) if place[0] >= 0 else 0, place[0]
 
