@@ -145,11 +145,10 @@ class Mix:
     def shard_slots(self) -> DataFrame:
         """(shard, src, j, block): each slot of each shard and the block that it takes."""
         base = np.cumsum(self.draws, axis=0) - self.draws
-        drawn = [
-            (int(k), int(s), int(base[k, s]), int(self.draws[k, s]), int(self.blocks[s]))
-            for k, s in zip(*np.nonzero(self.draws), strict=True)
-        ]
-        rows = self.spark.createDataFrame(drawn, "shard int, src int, base long, n long, blocks long")
+        shard, src = np.nonzero(self.draws)
+        columns = {"shard": shard.astype(np.int32), "src": src.astype(np.int32), "base": base[shard, src], "n": self.draws[shard, src], "blocks": self.blocks[src]}
+        schema = "shard int, src int, base long, n long, blocks long"
+        rows = self.spark.createDataFrame(pa.table(columns), schema) if src.size else self.spark.createDataFrame([], schema)
         rows = rows.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / _RUN))))
         rows = rows.repartition("shard", "src", "part")
         low, high = F.col("part") * _RUN, F.least(F.col("n"), (F.col("part") + 1) * _RUN) - 1
@@ -198,20 +197,23 @@ class Mix:
 
         A document taken r times over comes in r rows; row i has the words of the segments that were taken i times or
         more, in order, separate passages on lines of their own. A whole document keeps its text as it is. A column
-        n_chars follows the text.
+        n_chars follows the text. Rows that share their id, source and text, null or not, are told apart by a number, by
+        which each meets what was taken of one of them.
         """
         parts = self.taken_segments().groupBy("src", "start")
-        parts = parts.agg(F.sort_array(F.collect_list(F.struct("first", "last", "times"))).alias("parts"))
-        rows = self._with_taken(parts).where("parts is not null")
-        rows = rows.groupBy("doc_id", "h").agg(F.sort_array(F.collect_list(F.struct("src", "start", "parts"))).alias("__copies"))
-        rows = rows.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), F.col("__copies.parts").alias("__copies"))
+        parts = parts.agg(F.sort_array(F.collect_list(F.struct("first", "last", "times"))).alias("__parts"))
+        rows = self._with_taken(parts).select(F.col("doc_id").alias("__rid"), F.col("h").alias("__rh"), "start", "__parts")
+        keys = rows.groupBy("__rid", "__rh").agg(F.count("*").alias("__copies"), F.first("__parts", True).alias("__parts"))
         docs, schema = self.docs, self.docs.schema
         keyed = docs.select(F.struct("*").alias("__row"), F.col("doc_id").cast("long").alias("__id"), _hash().alias("__h"))
-        right = rows.withColumnRenamed("__id", "__rid").withColumnRenamed("__h", "__rh")
-        joined = keyed.join(right, F.col("__id").eqNullSafe(F.col("__rid")) & (F.col("__h") == F.col("__rh")))
-        copy = F.row_number().over(Window.partitionBy("__id", "__h").orderBy("__rh"))
-        joined = joined.withColumn("__parts", F.element_at("__copies", copy))
-        return joined.select("__row.*", "__parts").mapInArrow(_cutter(schema), schema)
+        same = F.col("__id").eqNullSafe(F.col("__rid")) & (F.col("__h") == F.col("__rh"))
+        found = keyed.join(keys.where("__parts is not null"), same)
+        single = found.where("__copies = 1").select("__row.*", "__parts")
+        number = lambda *key: F.row_number().over(Window.partitionBy(*key).orderBy(key[-1]))
+        left = found.where("__copies > 1").select("__row", "__id", "__h").withColumn("__n", number("__id", "__h"))
+        right = rows.where("__parts is not null").withColumn("__rn", number("__rid", "__rh"))
+        several = left.join(right, same & (F.col("__n") == F.col("__rn"))).select("__row.*", "__parts")
+        return single.unionByName(several).mapInArrow(_cutter(schema), schema)
 
 
 def _cutter(schema: T.StructType):
