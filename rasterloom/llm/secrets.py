@@ -50,7 +50,7 @@ LEET = str.maketrans("013457@$!", "oieastasi")
 
 
 #: The longest repeated unit, and the longest value whose cost is remembered.
-UNITS, REMEMBERED = 16, 128
+UNITS, REMEMBERED = 64, 128
 LONGEST_WORD = 24
 
 
@@ -66,8 +66,6 @@ def _walks() -> dict[str, str]:
 
 
 WALKS = _walks()
-RANK = {w: i + 1 for i, w in reversed(list(enumerate(WORDS)))}
-LONGEST = max(map(len, WORDS))
 DATE = re.compile(r"(?:19|20)\d\d|\d{1,2}[/.-]\d{1,2}[/.-](?:19|20)?\d\d|(?:19|20)\d\d[/.-]?\d{2}[/.-]?\d{2}|\d{2}\d{2}(?:19|20)\d\d")
 
 
@@ -79,7 +77,7 @@ def _alphabet(text: str) -> int:
 
 @lru_cache(maxsize=1)
 def dictionary() -> dict[str, int]:
-    """Ranks of the words for values of letters only: ``WORDS``, then the whole words of the tokenizer's vocabulary.
+    """Ranks of words: ``WORDS``, then the whole words of the tokenizer's vocabulary, which come by their frequency in text.
 
     Prose in a credential's context consists of such words; random letters do not.
     """
@@ -106,14 +104,14 @@ def _cheapest(value: str, enough: float) -> float:
     """The dynamic program. Runs of repeats and of neighbouring keys are carried along: each character takes the same work."""
     n, lower = len(value), value.lower()
     plain = lower.translate(LEET)
-    ranks, longest = (dictionary(), LONGEST_WORD) if value.isalpha() else (RANK, LONGEST)
+    ranks = dictionary()
     brute = math.log10(max(_alphabet(value), 2))
     best = [0.0] + [math.inf] * n
     repeated = [0] * (UNITS + 1)
     walk, starts = 0, []
     for end in range(1, n + 1):
         best[end] = best[end - 1] + brute
-        for start in range(max(0, end - longest), end - 2):
+        for start in range(max(0, end - LONGEST_WORD), end - 2):
             rank = ranks.get(lower[start:end]) or ranks.get(plain[start:end])
             if rank:
                 change = 0.0 if value[start:end] == lower[start:end] == plain[start:end] else math.log10(4)

@@ -184,6 +184,22 @@ def test_mixing(docs, odd, empty):
     assert mixing.Mix(empty).summary().count() == 0 and mixing.Mix(empty).documents().count() == 0
 
 
+def test_mixing_of_repeated_rows(spark):
+    """Rows with one id, or none, and one text each keep their share and their other columns."""
+    rows = [(1, "a b c d e", "en", "x")] * 300 + [(None, "f g h i j k l", None, None)] * 200 + [(None, None, "en", "x")] * 50
+    rows += [(2, "m n " * 400, "fr", "x"), (3, "p q " * 500, "de", "y")]
+    mix = mixing.Mix(frame(spark, rows))
+    want = Counter()
+    for r in mix.summary().collect():
+        want[r.doc_id] += r.taken
+    words = Counter()
+    found = mix.documents().collect()
+    for r in found:
+        words[r.doc_id] += len(r.text.split())
+        assert r.lang == {1: "en", None: None, 2: "fr", 3: "de"}[r.doc_id] and r.row == 1
+    assert words == +want and max(Counter(r.doc_id for r in found).values()) <= 900
+
+
 def test_water_fill_stops_at_the_cap():
     assert mixing.water_fill([10, 1000, 90]) == pytest.approx([30, 800, 270])
     assert mixing.water_fill([]) == [] and mixing.water_fill([0, 5]) == [0, 5]
@@ -281,19 +297,19 @@ def test_guesses_reach_beyond_base_spans_and_letters_count():
 def brute_cost(value):
     """The same dynamic program with every walk and repeat followed back from every end."""
     lower, plain = value.lower(), value.lower().translate(secrets.LEET)
-    brute, best = math.log10(max(secrets._alphabet(value), 2)), [0.0]
+    brute, best, ranks = math.log10(max(secrets._alphabet(value), 2)), [0.0], secrets.dictionary()
     for end in range(1, len(value) + 1):
         found = [best[-1] + brute]
         for start in range(end - 2):
             part = value[start:end]
-            rank = secrets.RANK.get(lower[start:end]) or secrets.RANK.get(plain[start:end])
+            rank = ranks.get(lower[start:end]) or ranks.get(plain[start:end])
             if rank:
                 found.append(best[start] + math.log10(rank + 1) + 0.3 + (0 if part == lower[start:end] == plain[start:end] else math.log10(4)))
             if secrets.DATE.fullmatch(part):
                 found.append(best[start] + math.log10(365 * 120))
             if all(lower[i : i + 2] in secrets.WALKS for i in range(start, end - 1)):
                 found.append(best[start] + math.log10(188 * (end - start)))
-        for unit in range(1, min(16, end // 2) + 1):
+        for unit in range(1, min(secrets.UNITS, end // 2) + 1):
             times = 1
             while end - (times + 1) * unit >= 0 and value[end - (times + 1) * unit : end - times * unit] == value[end - unit : end]:
                 times += 1
@@ -313,6 +329,39 @@ def test_guess_cost_is_the_least():
         assert (secrets._cheapest(value, 9.0) >= 9.0) == (want >= 9.0 - 1e-9)
 
 
+def piece_cost(value, start, end):
+    """The least cost of value[start:end] as one piece: a character, word, date, walk or repeat."""
+    part, lower = value[start:end], value[start:end].lower()
+    plain, brute = lower.translate(secrets.LEET), math.log10(max(secrets._alphabet(value), 2))
+    found = [brute] if len(part) == 1 else []
+    rank = len(part) > 2 and (secrets.dictionary().get(lower) or secrets.dictionary().get(plain))
+    if rank:
+        found.append(math.log10(rank + 1) + 0.3 + (0 if part == lower == plain else math.log10(4)))
+    if secrets.DATE.fullmatch(part) and len(part) > 3:
+        found.append(math.log10(365 * 120))
+    if len(part) > 2 and all(lower[i : i + 2] in secrets.WALKS for i in range(len(part) - 1)):
+        found.append(math.log10(188 * len(part)))
+    for unit in range(1, len(part) // 2 + 1):
+        times = len(part) // unit
+        if part == part[:unit] * times and len(part) % unit == 0 and times >= (3 if unit == 1 else 2):
+            found.append(unit * brute + math.log10(times))
+    return min(found, default=math.inf)
+
+
+def test_guess_cost_against_all_segmentations():
+    rng = random.Random(10)
+    parts = ["pass", "abc", "qwe", "aaa", "2024", "x9", "$K", "ab1ab1", "p@ss", "the", "Tr", "7"]
+    for _ in range(200):
+        value = "".join(rng.choices(parts, k=4))[: rng.randint(1, 11)]
+        n = len(value)
+        want = min(
+            sum(piece_cost(value, a, b) for a, b in zip(cuts, cuts[1:]))
+            for chosen in range(1 << (n - 1))
+            for cuts in [[0, *(i + 1 for i in range(n - 1) if chosen >> i & 1), n]]
+        )
+        assert secrets._cheapest(value, math.inf) == pytest.approx(want)
+
+
 def test_guess_cost_orders_values():
     cost = secrets.guess_cost
     assert cost("") == 0 and cost("password") < cost("passw0rd1") < cost("xK9#mQ2v")
