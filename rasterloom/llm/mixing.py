@@ -178,7 +178,8 @@ class Mix:
             (F.least((F.col("block") + 1) * b, F.col("start") + F.col("size")) - F.col("start") - 1).alias("last"),
         )
         times = self.shard_slots().groupBy("src", "block").agg(F.count("*").alias("times"))
-        return parts.join(times, ["src", "block"]).select("src", "start", "first", "last", "times")
+        # The slots come of a small local table, which says nothing of their number: no broadcast.
+        return parts.hint("merge").join(times, ["src", "block"]).select("src", "start", "first", "last", "times")
 
     def _with_taken(self, taken: DataFrame) -> DataFrame:
         at = F.when(F.col("size") > 0, F.col("start")).otherwise(-1 - F.pmod("h", F.lit(1 << 40)))
