@@ -92,34 +92,34 @@ class Transitions:
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         bits = max(4, int(3 * keys.size).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys = np.full(1 << bits, -1, np.int64)
-        self.values = np.full(1 << bits, -1, np.int64)
+        #: Keys and values side by side, so that a lookup goes to one place in memory.
+        self.slots = np.full((1 << bits, 2), -1, np.int64)
         at, left = self._home(keys), np.arange(keys.size)
         while left.size:
-            chosen = left[self.keys[at[left]] < 0]
-            self.keys[at[chosen]] = keys[chosen]
-            self.values[at[chosen]] = values[chosen]
-            # Of keys that met in a place one has stayed, the last in both assignments.
-            left = left[self.keys[at[left]] != keys[left]]
+            chosen = left[self.slots[at[left], 0] < 0]
+            self.slots[at[chosen]] = np.stack((keys[chosen], values[chosen]), 1)
+            # Of keys that met in a place one has stayed.
+            left = left[self.slots[at[left], 0] != keys[left]]
             at[left] = (at[left] + 1) & self.mask
 
     def _home(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).view(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The value of each of the ``keys`` (one dimension); -1 where there is none."""
         at = self._home(keys)
-        there = self.keys[at]
-        out = self.values[at]
-        left = np.flatnonzero(there != keys)
+        there = self.slots.take(at, axis=0)
+        other = there[:, 0] != keys
+        out = there[:, 1].copy()
+        left = np.flatnonzero(other)
         out[left] = -1
-        left = left[there[left] >= 0]
+        left = left[there[left, 0] >= 0]
         while left.size:
             at[left] = (at[left] + 1) & self.mask
-            there = self.keys[at[left]]
-            same = there == keys[left]
-            out[left[same]] = self.values[at[left[same]]]
-            left = left[~same & (there >= 0)]
+            there = self.slots.take(at[left], axis=0)
+            same = there[:, 0] == keys[left]
+            out[left[same]] = there[same, 1]
+            left = left[~same & (there[:, 0] >= 0)]
         return out
 
 
