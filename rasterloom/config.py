@@ -58,3 +58,7 @@ class Settings:
             raise ValueError("scale must be 2, 3 or 4")
         if not 0 < self.overlap < self.tile or self.overlap * self.scale < 2:
             raise ValueError("overlap must be positive, below the tile, and two output pixels at least")
+
+    def outputs(self, root: str) -> tuple[str, str]:
+        """The folders of upscaled and of finished images below ``root``."""
+        return f"{root.rstrip('/')}/sr_x{self.scale}", f"{root.rstrip('/')}/downscaled_x{self.scale}"

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rasterloom import config
 from rasterloom.functions import kernels
 from rasterloom.schema import RECT
 
@@ -47,7 +48,10 @@ def measured(images: DataFrame, kernel: Callable[[np.ndarray], kernels.Rect | No
 
 
 def detected(images: DataFrame, template: np.ndarray) -> DataFrame:
-    """(path, adaptive, region, multiscale, by_gray): four ruler detectors side by side, null where one finds nothing."""
+    """(path, adaptive, region, multiscale, by_gray, error): four ruler detectors side by side, null where one finds nothing.
+
+    A detector that fails leaves the others be; error says which failed and why, or that the image did not decode.
+    """
     detectors = {
         "adaptive": kernels.detect_adaptive,
         "region": lambda image: kernels.detect_in_region(image, template),
@@ -58,20 +62,94 @@ def detected(images: DataFrame, template: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: dict[str, list] = {name: [] for name in detectors}
+            errors = []
             for row in batch.to_pylist():
+                failed = [] if row["data"] is not None else ["[OPEN FAIL]"]
                 for name, kernel in detectors.items():
-                    try:
-                        rect = kernel(pixels_of(row)) if row["data"] is not None else None
-                    except Exception:  # noqa: BLE001
-                        rect = None
+                    rect = None
+                    if row["data"] is not None:
+                        try:
+                            rect = kernel(pixels_of(row))
+                        except Exception as error:  # noqa: BLE001
+                            failed.append(f"[UNEXPECTED] {name}: {error}")
                     found[name].append(rect and rect._asdict())
+                errors.append("; ".join(failed) or None)
             columns = [pa.array(v, _RECT) for v in found.values()]
-            yield pa.RecordBatch.from_arrays([batch.column("path"), *columns], ["path", *found])
+            yield pa.RecordBatch.from_arrays([batch.column("path"), *columns, pa.array(errors, pa.string())], ["path", *found, "error"])
 
-    schema = "path string, " + ", ".join(f"{n} {RECT}" for n in detectors)
+    schema = "path string, " + ", ".join(f"{n} {RECT}" for n in detectors) + ", error string"
     return images.select("path", "height", "width", "channels", "data").mapInArrow(run, schema)
 
 
+def matched_scales(images: DataFrame, template: np.ndarray, scales: tuple = config.TEMPLATE_SCALES, least: int = 10) -> DataFrame:
+    """(path, scale, score, x, y, width, height): the best place of the gray template at each of its scales.
+
+    Scales at which the template is smaller than ``least`` or larger than the image are left out.
+    """
+    scaled = []
+    for scale in scales:
+        size = (int(template.shape[0] * scale), int(template.shape[1] * scale))
+        if min(size) >= least:
+            scaled.append((scale, kernels.resize(template[..., None], size, "area")[..., 0]))
+    names = ["path", "scale", "score", "x", "y", "width", "height"]
+    types = [pa.string(), pa.float64(), pa.float64(), *[pa.int32()] * 4]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                if row["data"] is None:
+                    continue
+                plain = kernels.gray(pixels_of(row))
+                for scale, small in scaled:
+                    if small.shape[0] <= plain.shape[0] and small.shape[1] <= plain.shape[1]:
+                        rows.append((row["path"], scale, *kernels.match(plain, small), small.shape[1], small.shape[0]))
+            columns = zip(*rows, strict=True) if rows else [()] * len(names)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names)
+
+    columns = images.select("path", "height", "width", "channels", "data")
+    return columns.mapInArrow(run, "path string, scale double, score double, x int, y int, width int, height int")
+
+
+def best_match(scores: DataFrame, key: str = "path", least: float = config.MIN_MATCH) -> DataFrame:
+    """Of :func:`matched_scales` rows, each image's best, the first scale of equals; none below ``least``."""
+    best = F.max_by(F.struct("scale", "score", "x", "y", "width", "height"), F.struct("score", -F.col("scale")))
+    return scores.groupBy(key).agg(best.alias("r")).select(key, "r.*").where(F.col("score") >= least)
+
+
+def gray_template(images: DataFrame) -> np.ndarray:
+    """The first decodable image of a scan as a gray template; FileNotFoundError where there is none."""
+    row = images.where("data is not null").orderBy("path").first()
+    if row is None:
+        raise FileNotFoundError("no template that decodes")
+    return kernels.gray(pixels_of(row.asDict()))
+
+
+def to_bgr(gray: np.ndarray) -> np.ndarray:
+    """A gray array as three equal channels."""
+    return np.repeat(gray[..., None], 3, 2)
+
+
+def outlines(images: DataFrame, level: int = config.GRAY_THRESHOLD) -> DataFrame:
+    """(path, perimeter, area, rect) of the largest component brighter than ``level``; nulls where there is none."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: tuple[list, list, list] = ([], [], [])
+            for row in batch.to_pylist():
+                found = []
+                if row["data"] is not None:
+                    found = [kernels.contour(r) for r in kernels.regions(kernels.gray(pixels_of(row)) > level)]
+                points = max(found, key=kernels.area) if found else None
+                rows[0].append(None if points is None else kernels.perimeter(points))
+                rows[1].append(None if points is None else kernels.area(points))
+                rows[2].append(None if points is None else kernels.min_area_rect(points)._asdict())
+            columns = [pa.array(rows[0], pa.float64()), pa.array(rows[1], pa.float64()), pa.array(rows[2], _RECT)]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), *columns], ["path", "perimeter", "area", "rect"])
+
+    return images.select("path", "height", "width", "channels", "data").mapInArrow(run, f"path string, perimeter double, area double, rect {RECT}")
+
+
 def component_areas(masks: DataFrame, key: str, width: int) -> DataFrame:
     """(key, component, area) of the 8-connected components of row-major boolean masks; component is its first pixel."""
     kind = dict(masks.dtypes)[key]

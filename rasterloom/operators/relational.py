@@ -47,15 +47,22 @@ def without_last(df: DataFrame, group: str, order: list[str], n: int = 2) -> Dat
     return df.join(last, same, "left_anti")
 
 
+def _cuts(df: DataFrame, column: str) -> list:
+    """Up to ``SALTS`` values that cut the column into ranges of like size, from a sample by hash of bounded size."""
+    by_hash = df.where(F.col(column).isNotNull()).select(column).orderBy(F.xxhash64(column), column)
+    found = sorted({r[0] for r in by_hash.limit(SALTS * 16).collect()})
+    return found[:: max(1, len(found) // SALTS)]
+
+
 def positions(df: DataFrame, group: str, order: list[str]) -> DataFrame:
     """Adds ``pos``, from 0 in each group, and ``group_size``.
 
-    A numeric first key is cut into range buckets whose counts are summed up, so no group is ranked in one task.
+    The first key, of any type, is cut into ranges whose counts are summed up, so no group is ranked in one task but for
+    the rows that share a key. The cuts come from a small job that runs while the plan is built.
     """
-    numeric = dict(df.dtypes)[order[0]] in ("bigint", "int", "double")
-    cuts = df.stat.approxQuantile(order[0], [i / SALTS for i in range(1, SALTS)], 0.01) if numeric else []
-    cuts = F.array(*[F.lit(float(b)) for b in sorted(set(cuts))]).cast("array<double>")
-    df = df.withColumn("__b", F.size(F.filter(cuts, lambda c: c < F.col(order[0]))) if numeric else F.lit(0))
+    cuts = F.array(*map(F.lit, _cuts(df, order[0])))
+    some = F.size(F.filter(cuts, lambda c: c < F.col(order[0]))) if df.schema[order[0]].dataType.simpleString() != "boolean" else F.lit(0)
+    df = df.withColumn("__b", F.when(F.col(order[0]).isNull(), -1).otherwise(some))
     counts = df.groupBy(group, "__b").agg(F.count("*").alias("__c"))
     before = Window.partitionBy(group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(
@@ -106,6 +113,23 @@ def first_largest(df: DataFrame, group: str, value: Column, ordinal: str, *colum
     return df.groupBy(group).agg(picked.alias("r")).select(group, "r.*")
 
 
+def first_rows(df: DataFrame, n: int, *order: str) -> DataFrame:
+    """The first ``n`` rows of a stated order, the same again for the same input."""
+    return df.orderBy(*order).limit(n)
+
+
+def all_passed(df: DataFrame, group: str, passed: Column) -> DataFrame:
+    """Per group: n, and whether every row passed; a null counts as not passed."""
+    return df.groupBy(group).agg(F.count("*").alias("n"), F.bool_and(F.coalesce(passed, F.lit(False))).alias("passed"))
+
+
+def listed(df: DataFrame, group: str, item: str, most: int = 1000) -> DataFrame:
+    """(group, part, n, items): the items of each group in order, in lists of ``most``, so that no list grows with a group."""
+    placed = positions(df.select(group, item), group, [item]).withColumn("part", F.floor(F.col("pos") / most).cast("int"))
+    lists = placed.groupBy(group, "part").agg(F.first("group_size").alias("n"), F.sort_array(F.collect_list(item)).alias("items"))
+    return lists.select(group, "part", "n", "items")
+
+
 def failure_totals(df: DataFrame, group: str, failed: Column) -> DataFrame:
     """Per group: n, errors, success."""
     out = df.groupBy(group).agg(F.count("*").alias("n"), F.count_if(failed).alias("errors"))

@@ -36,7 +36,7 @@ def bicubic(tile: np.ndarray, scale: int) -> np.ndarray:
 
 
 class OnnxUpscaler:
-    """A model file run by onnxruntime, on the GPU where there is one; the session opens once for each Python worker."""
+    """A model file run by onnxruntime, on the GPU where there is one and opens; the session opens once for each Python worker."""
 
     _sessions: dict = {}
 
@@ -48,9 +48,15 @@ class OnnxUpscaler:
         if session is None:
             import onnxruntime
 
-            wanted = ["CUDAExecutionProvider", "CPUExecutionProvider"]
-            providers = [p for p in wanted if p in onnxruntime.get_available_providers()]
-            session = self._sessions[self.path] = onnxruntime.InferenceSession(self.path, providers=providers)
+            plain = ["CPUExecutionProvider"]
+            gpu = ["CUDAExecutionProvider"] if "CUDAExecutionProvider" in onnxruntime.get_available_providers() else []
+            try:
+                session = onnxruntime.InferenceSession(self.path, providers=gpu + plain)
+            except Exception:
+                if not gpu:
+                    raise
+                session = onnxruntime.InferenceSession(self.path, providers=plain)
+            self._sessions[self.path] = session
         fed = tile.transpose(2, 0, 1)[None].astype(np.float32)
         return session.run(None, {session.get_inputs()[0].name: fed})[0][0].transpose(1, 2, 0)
 
@@ -76,7 +82,7 @@ def split(images: DataFrame, tile: int = config.TILE, overlap: int = config.OVER
                 for th, sh in enumerate(kernels.starts(row["height"], tile, overlap)):
                     cut = [
                         {"path": row["path"], "height": row["height"], "width": row["width"], "tile_h": th, "tile_w": tw,
-                         "start_h": sh, "start_w": sw, "data": image[sh : sh + tile, sw : sw + tile].tobytes()}
+                         "start_h": sh, "start_w": sw, "data": image[sh : sh + tile, sw : sw + tile].tobytes(), "error": None}
                         for tw, sw in enumerate(kernels.starts(row["width"], tile, overlap))
                     ]
                     yield pa.RecordBatch.from_pylist(cut, _TILE)
@@ -85,30 +91,39 @@ def split(images: DataFrame, tile: int = config.TILE, overlap: int = config.OVER
 
 
 _TILE = pa.schema(
-    [("path", pa.string()), *[(n, pa.int32()) for n in ("height", "width", "tile_h", "tile_w", "start_h", "start_w")], ("data", pa.binary())]
+    [("path", pa.string()), *[(n, pa.int32()) for n in ("height", "width", "tile_h", "tile_w", "start_h", "start_w")], ("data", pa.binary()), ("error", pa.string())]
 )
 
 
 def upscaled(tiles: DataFrame, upscaler: Upscaler, scale: int, tile: int = config.TILE) -> DataFrame:
-    """``TILE`` rows with upscaled pixels; starts stay those of the input."""
+    """``TILE`` rows with upscaled pixels; starts stay those of the input. A tile that fails has no pixels but an error."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            out, errors = [], []
             for data in batch.column("data").to_pylist():
                 values = np.frombuffer(data, np.uint8).reshape(tile, tile, 3).astype(np.float32) / np.float32(255)
-                out.append(np.asarray(upscaler(values, scale), np.float32).tobytes())
-            columns = [batch.column(n) for n in _TILE.names[:-1]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary())], schema=_TILE)
+                try:
+                    big = np.asarray(upscaler(values, scale), np.float32)
+                    if big.shape != (tile * scale, tile * scale, 3):
+                        raise ValueError(f"an upscaled tile of shape {big.shape}")
+                    out.append(big.tobytes())
+                    errors.append(None)
+                except Exception as error:  # noqa: BLE001
+                    out.append(None)
+                    errors.append(str(error) or type(error).__name__)
+            columns = [batch.column(n) for n in _TILE.names[:-2]]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out, pa.binary()), pa.array(errors, pa.string())], schema=_TILE)
 
     return tiles.mapInArrow(run, TILE)
 
 
 def blended(tiles: DataFrame, scale: int, tile: int = config.TILE, overlap: int = config.OVERLAP) -> DataFrame:
-    """(path, height, width, channels, strip, data): strips of the upscaled images, cropped and quantised.
+    """(path, height, width, channels, strip, data, error): strips of the upscaled images, cropped and quantised.
 
     A strip is as high as the stride between tiles; a tile goes to the strips that it touches, so that a task holds the
-    tiles of a strip, not those of an image.
+    tiles of a strip, not those of an image. A strip with a tile that failed has no pixels. Values are cut to whole
+    numbers, as everywhere; the 1e-7 before keeps those that are whole from falling to the number below in the division.
     """
     stride, big, shared = (tile - overlap) * scale, tile * scale, overlap * scale
     low, high = F.floor(F.col("start_h") / (tile - overlap)), F.floor((F.col("start_h") + tile - 1) / (tile - overlap))
@@ -120,6 +135,10 @@ def blended(tiles: DataFrame, scale: int, tile: int = config.TILE, overlap: int
         height, width, strip = first["height"], first["width"], first["strip"]
         counts = [len(kernels.starts(n, tile, overlap)) for n in (height, width)]
         top, bottom = strip * stride, min((strip + 1) * stride, height * scale)
+        error = next((r["error"] for r in rows if r["error"]), None)
+        made = {"path": first["path"], "height": bottom - top, "width": width * scale, "channels": 3, "strip": strip, "data": None, "error": error}
+        if error:
+            return pa.Table.from_pylist([made], _STRIP)
         values, total = np.zeros((bottom - top, max(width, tile) * scale, 3)), np.zeros((bottom - top, max(width, tile) * scale, 1))
         for row in sorted(rows, key=lambda r: (r["tile_h"], r["tile_w"])):
             y, x = row["start_h"] * scale, row["start_w"] * scale
@@ -133,20 +152,26 @@ def blended(tiles: DataFrame, scale: int, tile: int = config.TILE, overlap: int
             values[a - top : b - top, x : x + big] += part * w
             total[a - top : b - top, x : x + big] += w
         out = kernels.quantise((values / total)[:, : width * scale] + 1e-7)
-        return pa.Table.from_pylist(
-            [{"path": first["path"], "height": bottom - top, "width": width * scale, "channels": 3, "strip": strip, "data": out.tobytes()}],
-            pa.schema([("path", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("strip", pa.int64()), ("data", pa.binary())]),
-        )
+        return pa.Table.from_pylist([made | {"data": out.tobytes()}], _STRIP)
 
-    return dealt.groupBy("path", "strip").applyInArrow(blend, "path string, height int, width int, channels int, strip long, data binary")
+    return dealt.groupBy("path", "strip").applyInArrow(blend, "path string, height int, width int, channels int, strip long, data binary, error string")
+
+
+_IMAGE = [("path", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32())]
+_STRIP = pa.schema([*_IMAGE, ("strip", pa.int64()), ("data", pa.binary()), ("error", pa.string())])
 
 
 def assembled(strips: DataFrame) -> DataFrame:
-    """Images of their uint8 strips: (path, height, width, channels, data)."""
-    parts = F.sort_array(F.collect_list(F.struct("strip", "data")))
-    rows = strips.groupBy("path").agg(F.sum("height").cast("int").alias("height"), F.first("width").alias("width"), F.first("channels").alias("channels"), parts.alias("parts"))
-    data = F.aggregate(F.col("parts.data"), F.lit(b""), lambda a, b: F.concat(a, b))
-    return rows.select("path", "height", "width", "channels", data.alias("data"))
+    """Images of their uint8 strips: (path, height, width, channels, data, error); an image with a failed strip has no pixels."""
+
+    def join(table: pa.Table) -> pa.Table:
+        table = table.sort_by("strip")
+        error = next((e for e in table.column("error").to_pylist() if e), None)
+        data = None if error else b"".join(table.column("data").to_pylist())
+        row = {"path": table["path"][0].as_py(), "height": sum(table["height"].to_pylist()), "width": table["width"][0].as_py(), "channels": 3, "data": data, "error": error}
+        return pa.Table.from_pylist([row], pa.schema([*_IMAGE, ("data", pa.binary()), ("error", pa.string())]))
+
+    return strips.groupBy("path").applyInArrow(join, "path string, height int, width int, channels int, data binary, error string")
 
 
 def superresolved(images: DataFrame, upscaler: Upscaler, scale: int = 2, tile: int = config.TILE, overlap: int = config.OVERLAP) -> DataFrame:
@@ -156,17 +181,23 @@ def superresolved(images: DataFrame, upscaler: Upscaler, scale: int = 2, tile: i
 
 
 def resized(images: DataFrame, kind: str = "lanczos") -> DataFrame:
-    """Images brought to the columns target_height and target_width."""
+    """Images brought to the columns target_height and target_width: (path, height, width, channels, data, error).
+
+    An image without pixels stays one; one that fails has none but an error.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
                 size = (row["target_height"], row["target_width"])
-                out = kernels.resize(pixels_of(row), size, kind)
-                yield pa.RecordBatch.from_pylist(
-                    [{"path": row["path"], "height": size[0], "width": size[1], "channels": 3, "data": out.tobytes()}],
-                    pa.schema([("path", pa.string()), ("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("data", pa.binary())]),
-                )
-
+                made = {"path": row["path"], "height": size[0], "width": size[1], "channels": 3, "data": None, "error": row["error"]}
+                if row["data"] is not None:
+                    try:
+                        made["data"] = kernels.resize(pixels_of(row), size, kind).tobytes()
+                    except Exception as error:  # noqa: BLE001
+                        made["error"] = str(error) or type(error).__name__
+                yield pa.RecordBatch.from_pylist([made], pa.schema([*_IMAGE, ("data", pa.binary()), ("error", pa.string())]))
+
+    error = F.col("error") if "error" in images.columns else F.lit(None).cast("string").alias("error")
     columns = ("path", "height", "width", "channels", "data", "target_height", "target_width")
-    return images.select(*columns).mapInArrow(run, "path string, height int, width int, channels int, data binary")
+    return images.select(*columns, error).mapInArrow(run, "path string, height int, width int, channels int, data binary, error string")

@@ -46,3 +46,11 @@ def estimate(files: DataFrame, images: DataFrame) -> DataFrame:
     rulers = _sides(measured(images.join(last, "path", "left_semi"), kernels.measure_ruler))
     pages = _sides(measured(images.join(last, "path", "left_anti"), kernels.measure_page))
     return ppi_by_folder(named, pages, rulers)
+
+
+def from_rects(files: DataFrame, rects: DataFrame) -> DataFrame:
+    """Resolutions of files (path, parent), valid ones only, whose ``rects`` (path, ruler, page) were measured before."""
+    named = files.select(F.col("parent").alias("folder"), F.col("path").alias("name"))
+    rulers = _sides(rects.select("path", F.col("ruler").alias("rect")))
+    pages = _sides(rects.select("path", F.col("page").alias("rect")))
+    return ppi_by_folder(named, pages, rulers)

@@ -28,6 +28,11 @@ def pending(spark: SparkSession, log: DataFrame, devices: list[str] | None = Non
     return (rows.where("device <> 'CPU'") if slow else rows).orderBy(*KEYS)
 
 
+def timed(seconds: float, images: int) -> tuple[float, float]:
+    """Total and average time of a run over ``images`` images; no images have no average."""
+    return seconds, seconds / images if images else float("nan")
+
+
 def tune(spark: SparkSession, log: DataFrame, measure: Callable[[str, int, int], tuple[float, float]], devices: list[str] | None = None) -> DataFrame:
     """The log with what ``measure`` (device, processes, threads) returned as (total_time, avg_time) for each new one."""
     rows, slow = [], False

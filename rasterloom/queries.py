@@ -7,10 +7,12 @@ relational logic; images proper are covered by tests on generated files.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rasterloom import config
+from rasterloom import config, schema
 from rasterloom.functions import geometry as geo
 from rasterloom.functions import pixels as px
 from rasterloom.operators import relational as rel
@@ -205,12 +207,33 @@ def ncc_match(spark, sf_dir):
     return _ncc(spark, sf_dir).select("vec_id", "oy", "ox", F.round("score", 6).alias("score"))
 
 
-@query(f"""{NCC_SQL}, r AS (SELECT vec_id, oy, ox, round(score, 6) AS score, row_number() OVER (PARTITION BY vec_id ORDER BY round(score, 6) DESC, oy * 8 + ox) AS rn FROM score)
-SELECT vec_id, oy, ox, score FROM r WHERE rn = 1 AND score >= 0.6""")
+#: Sizes of the template at its scales; a pixel falls with its distance from the centre, and from left to right.
+SCALES = (2, 3, 4, 5)
+SCALES_SQL = f"""tp AS (SELECT s, ty, tx, 250 - 30 * (abs(2 * ty - s + 1) + abs(2 * tx - s + 1)) - 9 * tx AS t FROM (VALUES {", ".join(f"({n})" for n in SCALES)}) z(s),
+(SELECT CAST(range AS INTEGER) AS ty FROM range(5)) a, (SELECT CAST(range AS INTEGER) AS tx FROM range(5)) b WHERE ty < s AND tx < s)"""
+
+
+@query(f"""WITH {IMAGES_SQL}, {SCALES_SQL}, sc AS (SELECT vec_id, s, y - ty AS oy, x - tx AS ox, count(*) AS n, sum(CAST(b AS DOUBLE)) AS sp, sum(CAST(b * b AS DOUBLE)) AS spp,
+sum(CAST(b * t AS DOUBLE)) AS spt FROM px, tp WHERE y - ty BETWEEN 0 AND 8 - s AND x - tx BETWEEN 0 AND 8 - s GROUP BY vec_id, s, oy, ox),
+tt AS (SELECT s, sum(CAST(t AS DOUBLE)) AS st, sum(CAST(t * t AS DOUBLE)) AS stt FROM tp GROUP BY s),
+score AS (SELECT vec_id, s, oy, ox, round(CASE WHEN n * spp - sp * sp = 0 THEN 0.0::DOUBLE ELSE (n * spt - sp * st) / sqrt((n * spp - sp * sp) * (n * stt - st * st)) END, 6) AS score FROM sc JOIN tt USING (s)),
+best AS (SELECT *, row_number() OVER (PARTITION BY vec_id, s ORDER BY score DESC, oy * 8 + ox) AS rn FROM score),
+r AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, s) AS first FROM best WHERE rn = 1)
+SELECT vec_id, s AS scale, oy, ox, score FROM r WHERE first = 1 AND score >= 0.6""")
 def best_scale(spark, sf_dir):
-    rows = ncc_match(spark, sf_dir).withColumn("ordinal", F.col("oy") * 8 + F.col("ox"))
-    best = rel.first_largest(rows, "vec_id", F.col("score"), "ordinal", "oy", "ox", "score")
-    return best.where(F.col("score") >= config.MIN_MATCH)
+    """The template's best place at each of its scales, and of these the best scale, the first of equals."""
+    cells = [(s, y, x, 250 - 30 * (abs(2 * y - s + 1) + abs(2 * x - s + 1)) - 9 * x) for s in SCALES for y in range(s) for x in range(s)]
+    each = F.explode(F.array(*[F.struct(*(F.lit(v).alias(n) for n, v in zip(("s", "ty", "tx", "t"), c, strict=True))) for c in cells])).alias("c")
+    rows = pixels(spark, sf_dir).select("vec_id", F.col("b").cast("double").alias("p"), "y", "x", each)
+    rows = rows.select("vec_id", "p", (F.col("y") - F.col("c.ty")).alias("oy"), (F.col("x") - F.col("c.tx")).alias("ox"), F.col("c.s").alias("scale"), F.col("c.t").cast("double").alias("t"))
+    rows = rows.where((F.least("oy", "ox") >= 0) & (F.greatest("oy", "ox") <= 8 - F.col("scale"))).groupBy("vec_id", "scale", "oy", "ox")
+    p, t = F.col("p"), F.col("t")
+    n, sp, spp, spt, st, stt = F.count("*").cast("double"), F.sum("p"), F.sum(p * p), F.sum(p * t), F.sum("t"), F.sum(t * t)
+    score = F.when(n * spp - sp * sp == 0, 0.0).otherwise((n * spt - sp * st) / F.sqrt((n * spp - sp * sp) * (n * stt - st * st)))
+    scores = rows.agg(F.round(score, 6).alias("score")).withColumn("ordinal", F.col("oy") * 8 + F.col("ox"))
+    best = F.max_by(F.struct("scale", "oy", "ox", "score"), F.struct("score", -F.col("scale"), -F.col("ordinal")))
+    found = scores.groupBy("vec_id").agg(best.alias("r")).select("vec_id", "r.*")
+    return found.where(F.col("score") >= config.MIN_MATCH)
 
 
 @query(f"""WITH RECURSIVE {IMAGES_SQL}, fg AS (SELECT vec_id, i, y, x FROM px WHERE b > 150),
@@ -437,10 +460,22 @@ def zip_align(spark, sf_dir):
     return rel.zip_aligned(_t(spark, sf_dir, "part"), _t(spark, sf_dir, "customer"), "p_partkey", "c_custkey")
 
 
-@query("SELECT source AS folder, count(*) AS n, min(doc_id) AS first_id, max(doc_id) AS last_id FROM documents GROUP BY source")
+@query("""WITH c AS (SELECT source AS folder, doc_id, (row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1) // 100 AS part, count(*) OVER (PARTITION BY source) AS n FROM documents)
+SELECT folder, CAST(part AS INTEGER) AS part, n, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS images FROM c GROUP BY folder, part, n""")
 def folder_to_images(spark, sf_dir):
-    rows = _t(spark, sf_dir, "documents").groupBy(F.col("source").alias("folder"))
-    return rows.agg(F.count("*").alias("n"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
+    """The images of each folder, in order, in lists of a hundred; folders without any have no row."""
+    lists = rel.listed(_t(spark, sf_dir, "documents").withColumnRenamed("source", "folder"), "folder", "doc_id", 100)
+    return lists.select("folder", "part", "n", F.array_join(F.col("items").cast("array<string>"), ",").alias("images"))
+
+
+@query("SELECT source AS folder, count(*) AS n, bool_and(n_chars >= 1000) AS passed FROM documents GROUP BY source")
+def all_passed(spark, sf_dir):
+    return rel.all_passed(_t(spark, sf_dir, "documents").withColumnRenamed("source", "folder"), "folder", F.col("n_chars") >= 1000)
+
+
+@query("SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 100")
+def first_rows(spark, sf_dir):
+    return rel.first_rows(_t(spark, sf_dir, "orders"), 100, "o_orderdate", "o_orderkey").select("o_orderkey", "o_totalprice")
 
 
 @query("SELECT p_brand AS folder, round(avg(greatest(p_size * 30.0::DOUBLE, p_retailprice)), 6) AS avg_long, round(avg(least(p_size * 30.0::DOUBLE, p_retailprice)), 6) AS avg_short FROM part GROUP BY p_brand")
@@ -601,18 +636,204 @@ def area_resize(spark, sf_dir):
     return _first_channel(tiles.resized(rows, "area"))
 
 
-@query(None)
+def _lanczos_sql(name: str, target: int) -> str:
+    """Weights (i, j, w) of eight pixels for each of ``target``."""
+    x = f"((j + 0.5::DOUBLE) - (i + 0.5::DOUBLE) * 8 / {target}) / (8.0::DOUBLE / {target})"
+    return f"""{name} AS (SELECT i, j, l / sum(l) OVER (PARTITION BY i) AS w FROM (SELECT i, j, CASE WHEN abs(d) >= 3 THEN 0.0::DOUBLE WHEN d = 0 THEN 1.0::DOUBLE
+ELSE sin(pi() * d) / (pi() * d) * sin(pi() * d / 3) / (pi() * d / 3) END AS l FROM (SELECT i, j, {x} AS d FROM (SELECT CAST(range AS INTEGER) AS i FROM range({target})) a, (SELECT CAST(range AS INTEGER) AS j FROM range(8)) b)))"""
+
+
+@query(f"""WITH {IMAGES_SQL}, {_lanczos_sql("wy", 6)}, {_lanczos_sql("wx", 5)}
+SELECT vec_id, wy.i AS y, wx.i AS x, CAST(greatest(0, least(255, floor(sum(b * wy.w * wx.w) + 0.5::DOUBLE))) AS INTEGER) AS v FROM px JOIN wy ON wy.j = px.y JOIN wx ON wx.j = px.x GROUP BY vec_id, wy.i, wx.i""")
 def lanczos_resize(spark, sf_dir):
     rows = _files(spark, sf_dir).withColumns({"target_height": F.lit(6), "target_width": F.lit(5)})
     return _first_channel(tiles.resized(rows))
 
 
-@query(None)
+def _drawn(spark, sf_dir, draw) -> DataFrame:
+    """An image row for each part, made by ``draw`` (p_partkey, p_size), a gray array."""
+    import numpy as np
+    import pyarrow as pa
+
+    def run(batches):
+        for batch in batches:
+            for key, size in zip(batch.column("p_partkey").to_pylist(), batch.column("p_size").to_pylist(), strict=True):
+                image = np.repeat(draw(key, size)[..., None], 3, 2).astype(np.uint8)
+                row = {"path": str(key), "height": image.shape[0], "width": image.shape[1], "channels": 3, "data": image.tobytes()}
+                yield pa.RecordBatch.from_pylist([row], pa.schema([("path", pa.string()), *[(n, pa.int32()) for n in ("height", "width", "channels")], ("data", pa.binary())]))
+
+    return _t(spark, sf_dir, "part").select("p_partkey", "p_size").mapInArrow(run, schema.IMAGE)
+
+
+def _rectangle(key: int, size: int):
+    import numpy as np
+
+    image = np.zeros((size + 30, size + 40))
+    image[5 : 5 + size + 4, 7 : 7 + size % 7 + 9] = 200
+    return image
+
+
+def _diamond_or_rectangle(key: int, size: int):
+    import numpy as np
+
+    if size % 2 == 0:
+        return _rectangle(key, size)
+    y, x = np.indices((2 * size + 5, 2 * size + 5)) - (size + 2)
+    return np.where(abs(y) + abs(x) <= size, 200, 0)
+
+
+@query("SELECT p_partkey, 2.0::DOUBLE * (p_size + 3 + p_size % 7 + 8) AS perimeter, (p_size + 3) * (p_size % 7 + 8) * 1.0::DOUBLE AS area FROM part")
+def perimeter_area(spark, sf_dir):
+    """Of the contour of a drawn rectangle, through its border's pixel centres."""
+    from rasterloom.operators.images import outlines
+
+    found = outlines(_drawn(spark, sf_dir, _rectangle))
+    return found.select(F.col("path").cast("long").alias("p_partkey"), "perimeter", "area")
+
+
+@query("""SELECT p_partkey, round(CASE WHEN p_size % 2 = 0 THEN greatest(p_size + 3, p_size % 7 + 8) ELSE p_size * sqrt(2.0::DOUBLE) END, 6) AS long_px,
+round(CASE WHEN p_size % 2 = 0 THEN least(p_size + 3, p_size % 7 + 8) ELSE p_size * sqrt(2.0::DOUBLE) END, 6) AS short_px FROM part""")
 def contour_min_rect(spark, sf_dir):
-    """The smallest rectangle around the largest bright component of each stand-in image."""
+    """The smallest rectangle around a drawn rectangle, or around a diamond, whose sides are not the axes'."""
     from rasterloom.functions import kernels
     from rasterloom.operators.images import measured
 
-    rects = measured(_files(spark, sf_dir), lambda image: kernels.measure_page(image, 150))
+    rects = measured(_drawn(spark, sf_dir, _diamond_or_rectangle), lambda image: kernels.measure_page(image, 150))
     sides = [F.round(f(F.col("rect.w"), F.col("rect.h")), 6).alias(n) for f, n in ((F.greatest, "long_px"), (F.least, "short_px"))]
-    return rects.select(F.col("path").cast("long").alias("vec_id"), *sides, "error")
+    return rects.select(F.col("path").cast("long").alias("p_partkey"), *sides)
+
+
+def _ruler_template():
+    """A gray bar of 70 x 14 in a black field of 80 x 20."""
+    import numpy as np
+
+    out = np.zeros((20, 80), np.uint8)
+    out[3:17, 5:75] = 70
+    return out
+
+
+def _detected(spark, sf_dir, detector: str, draw) -> DataFrame:
+    from rasterloom.operators.images import detected
+
+    found = detected(_drawn(spark, sf_dir, draw), _ruler_template())
+    rect = F.col(detector)
+    columns = {"cx": rect["cx"], "cy": rect["cy"], "long_px": F.greatest(rect["w"], rect["h"]), "short_px": F.least(rect["w"], rect["h"])}
+    return found.select(F.col("path").cast("long").alias("p_partkey"), *(F.round(c, 6).alias(n) for n, c in columns.items()))
+
+
+def _with_ruler(key: int, size: int):
+    import numpy as np
+
+    image = np.zeros((60, 140))
+    y, x = key * 5 % 37, key * 7 % 55
+    image[y : y + 20, x : x + 80] = _ruler_template()
+    return image
+
+
+def _flat(key: int, size: int):
+    import numpy as np
+
+    return np.full((30 + size % 20, 4 * (30 + size % 20)), 90)
+
+
+@query("SELECT p_partkey, (4 * (30 + p_size % 20) - 1) / 2.0::DOUBLE AS cx, (29 + p_size % 20) / 2.0::DOUBLE AS cy, 4.0::DOUBLE * (30 + p_size % 20) - 1 AS long_px, 29.0::DOUBLE + p_size % 20 AS short_px FROM part")
+def detector_hsv(spark, sf_dir):
+    return _detected(spark, sf_dir, "adaptive", _flat)
+
+
+BAR_SQL = "SELECT p_partkey, p_partkey * 7 % 55 + 39.5::DOUBLE AS cx, p_partkey * 5 % 37 + 9.5::DOUBLE AS cy, 69.0::DOUBLE AS long_px, 13.0::DOUBLE AS short_px FROM part"
+
+
+@query(BAR_SQL)
+def detector_roi(spark, sf_dir):
+    return _detected(spark, sf_dir, "region", _with_ruler)
+
+
+@query("SELECT p_partkey, p_partkey * 7 % 55 + 40.0::DOUBLE AS cx, p_partkey * 5 % 37 + 10.0::DOUBLE AS cy, 80.0::DOUBLE AS long_px, 20.0::DOUBLE AS short_px FROM part")
+def detector_multiscale(spark, sf_dir):
+    return _detected(spark, sf_dir, "multiscale", _with_ruler)
+
+
+@query(BAR_SQL)
+def gray_detector(spark, sf_dir):
+    return _detected(spark, sf_dir, "by_gray", _with_ruler)
+
+
+def _scans(spark, sf_dir) -> str:
+    """A folder tree of PNG files, one for each stand-in image, in its label's folder."""
+    from rasterloom.sources import files
+
+    folder = f"{files.shared_folder(spark)}/scans-{uuid.uuid4().hex}"
+    named = images(spark, sf_dir).select(F.col("vec_id").cast("string").alias("path"), F.concat_ws("/", "label", F.concat("vec_id", F.lit(".png"))).alias("to"))
+    rows = _files(spark, sf_dir).join(named, "path")
+    failed = files.write_png(rows, folder, F.col("to")).where("error is not null").count()
+    if failed:
+        raise OSError(f"{failed} files were not written")
+    return folder
+
+
+def _number(name: str):
+    return F.regexp_extract(name, "^([0-9]+)", 1).cast("long")
+
+
+@query(f"WITH {IMAGES_SQL} SELECT vec_id, y, x, b AS v FROM px")
+def image_scan(spark, sf_dir):
+    """The pixels of image files, written and decoded again."""
+    from rasterloom.sources import files
+
+    rows = files.with_path_parts(files.images(spark, _scans(spark, sf_dir)))
+    return _first_channel(rows.withColumn("path", _number("name")))
+
+
+@query("SELECT vec_id, CAST(label AS VARCHAR) AS folder, '.png' AS suffix, true AS some FROM embeddings")
+def binary_scan(spark, sf_dir):
+    from rasterloom.sources import files
+
+    rows = files.image_files(files.files(spark, _scans(spark, sf_dir)))
+    return rows.select(_number("name").alias("vec_id"), F.col("parent_name").alias("folder"), files.suffix(F.col("name")).alias("suffix"), (F.col("length") > 0).alias("some"))
+
+
+@query("SELECT 'Part ' || p_partkey AS key, p_name || ' : ' || p_brand AS value FROM part UNION ALL SELECT 'Empty ' || p_partkey, '' FROM part")
+def exif_parse(spark, sf_dir):
+    """Lines of "Key : Value", of which values hold the separator or are empty."""
+    from rasterloom.sources import files
+
+    folder = f"{files.shared_folder(spark)}/exif-{uuid.uuid4().hex}"
+    part = _t(spark, sf_dir, "part")
+    lines = part.select(F.concat(F.lit("Part "), "p_partkey", F.lit("   : "), "p_name", F.lit(" : "), "p_brand").alias("value"))
+    lines.union(part.select(F.concat(F.lit("Empty "), "p_partkey", F.lit(" : ")))).write.text(folder)
+    return files.exif(spark, folder).select("key", "value")
+
+
+@query("SELECT CASE WHEN n_nationkey < 15 THEN 1 ELSE 2 END AS run, n_nationkey || '.txt' AS name FROM nation")
+def stream_resume(spark, sf_dir):
+    """Three runs over a folder, the second after more files came, the third without any: each file is seen once."""
+    from rasterloom.sources import files
+    from rasterloom.streaming import resume
+
+    folder = f"{files.shared_folder(spark)}/incoming-{uuid.uuid4().hex}"
+    nation = _t(spark, sf_dir, "nation")
+    for run, condition in ((1, "n_nationkey < 15"), (2, "n_nationkey >= 15"), (3, "false")):
+        come = nation.where(condition)
+        come.select(F.col("n_name").alias("value"), F.concat("n_nationkey", F.lit(".txt")).alias("name")).write.partitionBy("name").mode("append").text(f"{folder}/in")
+
+        def keep(batch, number, run=run):
+            seen = batch.select(F.lit(run).alias("run"), F.regexp_extract("parent_name", "name=(.*)", 1).alias("name"))
+            seen.write.mode("overwrite").parquet(f"{folder}/seen/batch={run}-{number}")
+
+        resume.resume(spark, f"{folder}/in", f"{folder}/checkpoint", keep, "*.txt")
+    return spark.read.parquet(f"{folder}/seen").select("run", "name")
+
+
+@query(f"WITH {LOG_SQL} SELECT event_id || '.png' AS filename, filename AS step, timestamp FROM log WHERE filename = 'CRASH'")
+def log_stream(spark, sf_dir):
+    """Log rows that arrive as files and are appended to the log by a stream that ends when all are drained."""
+    from rasterloom.sources import files
+    from rasterloom.streaming import resume
+
+    folder = f"{files.shared_folder(spark)}/log-{uuid.uuid4().hex}"
+    rows = _log(spark, sf_dir).where("filename = 'CRASH'")
+    rows = rows.select("timestamp", F.concat("event_id", F.lit(".png")).alias("filename"), F.col("filename").alias("step"), F.lit("false").alias("status"), F.lit("x").alias("error"), F.lit(None).cast("string").alias("full_path"))
+    rows.write.csv(f"{folder}/in", header=True)
+    resume.drained(resume.failure_stream(spark, f"{folder}/in", schema.FAILURE_LOG), f"{folder}/log", f"{folder}/checkpoint")
+    return spark.read.parquet(f"{folder}/log").select("filename", "step", "timestamp")

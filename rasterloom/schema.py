@@ -9,4 +9,4 @@ CALIBRATION = "ppi int, width_pixel double, width_mm double, height_pixel double
 RECT = "struct<cx:double,cy:double,w:double,h:double,angle:double>"
 EXIF = "file string, key string, value string"
 IMAGE = "path string, height int, width int, channels int, data binary"
-TILE = "path string, height int, width int, tile_h int, tile_w int, start_h int, start_w int, data binary"
+TILE = "path string, height int, width int, tile_h int, tile_w int, start_h int, start_w int, data binary, error string"

@@ -2,6 +2,14 @@
 
 from __future__ import annotations
 
+import posixpath
+import tempfile
+import urllib.parse
+import uuid
+import zlib
+
+import pyarrow as pa
+import pyarrow.fs  # noqa: F401
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,7 +62,7 @@ def image_files(found: DataFrame, suffixes: tuple[str, ...] = config.IMAGE_SUFFI
     return found.where((F.lower("name") != "thumbs.db") & suffix(F.col("name")).isin(*suffixes))
 
 
-def images(spark: SparkSession, root: str) -> DataFrame:
+def images(spark: SparkSession, root: str | list[str]) -> DataFrame:
     """(path, height, width, channels, data) of all files below ``root``; data is null where decoding fails."""
     found = spark.read.format("image").option("dropInvalid", False).option("recursiveFileLookup", True).load(root)
     valid = F.col("image.width") > 0
@@ -84,32 +92,84 @@ def exif(spark: SparkSession, path: str) -> DataFrame:
     return rows.where("key <> ''")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir, which all executors share; in local mode a temporary one does."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return tempfile.mkdtemp(prefix="rasterloom-")
+
+
+#: First bytes of image files.
+_SIGNATURES = (b"\x89PNG\r\n\x1a\n", b"\xff\xd8\xff", b"II*\0", b"MM\0*", b"BM", b"GIF8")
+
+
+def failure_reason(content: bytes) -> str:
+    """Why a file did not decode: it is no image, its first part is damaged, or its pixels do not load."""
+    if not content.startswith(_SIGNATURES):
+        return "[OPEN FAIL]"
+    if content.startswith(_SIGNATURES[0]):
+        size = int.from_bytes(content[8:12], "big")
+        head, crc = content[12 : 16 + size], content[16 + size : 20 + size]
+        if head[:4] != b"IHDR" or zlib.crc32(head) != int.from_bytes(crc, "big"):
+            return "[VERIFY FAIL]"
+    return "[LOAD FAIL]"
+
+
+def explained(spark: SparkSession, root: str, checked: DataFrame, most: int = 1000) -> DataFrame:
+    """``checked`` files with the reason why each undecodable one is; only these are read, or all where there are many."""
+    bad = checked.where("error = '[OPEN FAIL]'").select("path")
+    paths = [r.path for r in bad.limit(most + 1).collect()]
+    if not paths:
+        return checked
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths if len(paths) <= most else root)
+
+    def run(batches):
+        for batch in batches:
+            reasons = [failure_reason(c) for c in batch.column("head").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("at"), pa.array(reasons, pa.string())], ["at", "reason"])
+
+    heads = found.select(one_slash(F.col("path")).alias("path"), F.substring("content", 1, 64).alias("head")).join(bad, "path", "left_semi")
+    reasons = heads.select(F.col("path").alias("at"), "head").mapInArrow(run, "at string, reason string")
+    joined = checked.join(reasons, checked["path"] == reasons["at"], "left")
+    return joined.withColumn("error", F.coalesce("reason", "error")).drop("at", "reason")
+
+
+def scaled_name(name: Column, scale: int) -> Column:
+    """The name with the scale before its suffix: page.png becomes page_x2.png."""
+    return F.regexp_replace(name, r"^(.*?)(\.[^./]*)?$", f"$1_x{scale}$2")
+
+
 def write_png(images_: DataFrame, folder: str, relative: Column, ppi: Column | None = None) -> DataFrame:
-    """Writes each image below ``folder``, a path that all executors share, at its relative path; returns (path, bytes).
+    """Writes each image below ``folder`` at its relative path: (path, bytes, error, input, relative_path), bytes or an error.
 
-    A file appears under its name only when it is whole, so a task that runs again replaces it.
+    The folder is one that all executors share, with or without a scheme. A file appears under its name only when it is
+    whole, so a task that runs again replaces it.
     """
     rows = images_.select("path", "height", "width", "channels", "data", relative.alias("__to"), (F.lit(None).cast("int") if ppi is None else ppi.cast("int")).alias("__ppi"))
 
     def run(batches):
-        import os
-        import uuid
-
-        import pyarrow as pa
-
         from rasterloom.operators.images import pixels_of
 
+        files_, base = pa.fs.FileSystem.from_uri(folder if "://" in folder else "file://" + urllib.parse.quote(posixpath.abspath(folder.removeprefix("file:"))))
         for batch in batches:
             done = []
             for row in batch.to_pylist():
-                to = os.path.join(folder, row["__to"])
-                os.makedirs(os.path.dirname(to), exist_ok=True)
-                data = kernels.encode_png(pixels_of(row)[..., ::-1], row["__ppi"])
-                part = f"{to}.{uuid.uuid4().hex}.part"
-                with open(part, "wb") as file:
-                    file.write(data)
-                os.replace(part, to)
-                done.append({"path": to, "bytes": len(data)})
-            yield pa.RecordBatch.from_pylist(done, pa.schema([("path", pa.string()), ("bytes", pa.int64())]))
-
-    return rows.mapInArrow(run, "path string, bytes long")
+                to, size, error = posixpath.join(base, row["__to"]), None, None
+                try:
+                    files_.create_dir(posixpath.dirname(to), recursive=True)
+                    data = kernels.encode_png(pixels_of(row)[..., ::-1], row["__ppi"])
+                    part = f"{to}.{uuid.uuid4().hex}.part"
+                    with files_.open_output_stream(part) as file:
+                        file.write(data)
+                    files_.move(part, to)
+                    size = len(data)
+                except Exception as raised:  # noqa: BLE001
+                    error = str(raised) or type(raised).__name__
+                done.append({"path": to, "bytes": size, "error": error, "input": row["path"], "relative_path": row["__to"]})
+            yield pa.RecordBatch.from_pylist(done, kind)
+
+    kind = pa.schema([("path", pa.string()), ("bytes", pa.int64()), ("error", pa.string()), ("input", pa.string()), ("relative_path", pa.string())])
+    return rows.mapInArrow(run, "path string, bytes long, error string, input string, relative_path string")

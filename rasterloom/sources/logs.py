@@ -54,6 +54,17 @@ def sorted_log(rows: DataFrame, crash_last: bool = False) -> DataFrame:
     return rows.orderBy(*first, "timestamp", "filename")
 
 
+def rewrite_sorted(spark: SparkSession, path: str, crash_last: bool = False) -> None:
+    """The failure log at ``path`` rewritten in order, by way of a folder beside it, which stays if the swap is cut short."""
+    beside = f"{path.rstrip('/')}.sorted"
+    sorted_log(read_failures(spark, path), crash_last).coalesce(1).write.mode("overwrite").csv(beside, header=True)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    old, new = hadoop.Path(path), hadoop.Path(beside)
+    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(old, True)
+    files.rename(new, old)
+
+
 def numbered(rows: DataFrame, *order: str) -> DataFrame:
     """Adds rn, the place from 1 in the global order.
 

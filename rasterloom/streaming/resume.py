@@ -37,3 +37,9 @@ def resume(spark: SparkSession, root: str, checkpoint: str, process: Callable[[D
 def failure_stream(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """A stream of log rows written as CSV files into ``folder``."""
     return spark.readStream.schema(schema).option("header", True).csv(folder)
+
+
+def drained(rows: DataFrame, path: str, checkpoint: str) -> None:
+    """Appends what has arrived in a stream to the Parquet log at ``path``, each row once, and ends."""
+    query = rows.writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
+    query.awaitTermination()
