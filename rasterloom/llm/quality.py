@@ -128,6 +128,36 @@ def judged(docs: DataFrame, host: str = "source", limit: float = HOST_LIMIT) ->
     )
 
 
+def _oracle() -> str:
+    """DuckDB SQL of the query; hosts' rates are rounded as there."""
+    word, some = r"[^\x20\x09-\x0D]+", r"[^\x20\x09-\x0D]"
+    fails = ", ".join(f"count(*) FILTER (WHERE {rule}) AS {name}" for name, rule in RULES.items())
+    sums = ", ".join(f"sum({name}) AS {name}_n, sum(CAST({name} AS DOUBLE) * {name} / docs) AS {name}_2" for name in RULES)
+    means = ", ".join(f"least(greatest({name}_n / CAST(docs AS DOUBLE), 1e-6::DOUBLE), 1 - 1e-6::DOUBLE) AS {name}_m, {name}_2" for name in RULES)
+    spreads = ", ".join(f"{name}_m, {name}_m * (1 - {name}_m) AS {name}_v, {name}_2 / docs - {name}_m * {name}_m - {name}_m * (1 - {name}_m) * hosts / docs AS {name}_s" for name in RULES)
+    weights = ", ".join(
+        f"{name}_m, least(greatest(CASE WHEN {name}_s > 0 THEN {name}_v / {name}_s - 1 ELSE docs / CAST(hosts AS DOUBLE) END, 1.0::DOUBLE), greatest(docs / CAST(hosts AS DOUBLE), 1.0::DOUBLE)) AS {name}_w"
+        for name in RULES
+    )
+    rates = ", ".join(f"({name} + {name}_m * {name}_w) / (h.docs + {name}_w)" for name in RULES)
+    return f"""WITH d AS (SELECT row_number() OVER () AS r, doc_id, source AS host, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '{word}') AS words, list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '{some}')) AS lines FROM d),
+t AS (SELECT r, unnest(range(1, len(words) - 1)) AS i, words FROM w WHERE len(words) > 2),
+k AS (SELECT r, i, count(*) OVER (PARTITION BY r, words[i], words[i + 1], words[i + 2]) AS n FROM t),
+c AS (SELECT r, count(DISTINCT i + s) AS n_repeat_words FROM k, (SELECT unnest([0, 1, 2]) AS s) WHERE n > 1 GROUP BY r),
+m AS (SELECT doc_id, host, len(words) AS n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
+length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, len(lines) AS n_lines FROM w LEFT JOIN c USING (r)),
+h AS (SELECT host, count(*) AS docs, {fails} FROM m GROUP BY host), a AS (SELECT sum(docs) AS docs, count(*) AS hosts, {sums} FROM h),
+b AS (SELECT docs, hosts, {means} FROM a), e AS (SELECT docs, hosts, {spreads} FROM b), f AS (SELECT {weights} FROM e),
+g AS (SELECT host, greatest({rates}) AS rate FROM h, f)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+NOT (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND rate < {HOST_LIMIT} AS kept, round(rate, 9) AS host_rate FROM m JOIN g ON m.host IS NOT DISTINCT FROM g.host"""
+
+
+ORACLE_SQL = _oracle()
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = judged(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", *MEASURES, "base_failed", "kept", "host_rate")
+    return found.select("doc_id", *MEASURES, "base_failed", "kept", F.round("host_rate", 9).alias("host_rate"))

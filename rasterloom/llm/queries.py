@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from rasterloom.llm import lattice, quality
 from rasterloom.llm.langid import op9_language_id
 from rasterloom.llm.lattice import op4_lattice
 from rasterloom.llm.maxent import op8_maxent
@@ -28,4 +29,5 @@ QUERIES = {
         op10_toxicity,
     )
 }
-ORACLE_SQL: dict[str, str] = {}
+#: SQL expresses these in full; the others depend on models, draws, tokenizers or hashes, and are held against brute force.
+ORACLE_SQL: dict[str, str] = {"op1_quality_rules": quality.ORACLE_SQL, "op4_lattice": lattice.ORACLE_SQL}
