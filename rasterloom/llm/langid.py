@@ -332,7 +332,11 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, all columns kept, in one pass without a shuffle."""
+    """The rows of ``docs`` whose text has a language, all columns kept, in one pass without a shuffle.
+
+    Null texts and texts without a letter go, and all where nothing was learned; repeated rows and rows without an id are
+    judged each by its text; an empty table stays one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,8 +7,10 @@ of one length share a bucket, so a batch drawn from a bucket needs no padding an
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -33,12 +35,36 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in kept else chr(next(others)) for b in range(256)]
 
 
+#: Fixed form of a tokenizer file whose texts fall into words: white space is one space, letters are lower-cased, and no
+#: piece joins characters across white space, nor a letter or digit with a full stop or comma.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
+
+def falls_into_words(path: str) -> bool:
+    """Whether the tokenizer file has the fixed form, and no added token with white space."""
+    with open(path, encoding="utf-8") as file:
+        found = json.load(file)
+    added = [t["content"] for t in found.get("added_tokens") or []]
+    return found["normalizer"] == NORMALIZER and found["pre_tokenizer"] == PRE_TOKENIZER and all(len(t.split()) == 1 for t in added)
+
+
 class WordIds(dict):
     """White-space free UTF-8 words to their ids, packed as little-endian unsigned 32-bit numbers.
 
-    The vocabulary's pre-tokenizer never joins characters across white space, nor a letter or digit with a full stop or
-    comma, so words can be looked up one by one; a word of Latin letters is a single piece and goes straight to the
-    merges. All else goes through the whole tokenizer.
+    Where the tokenizer's texts fall into words, these are looked up one by one; a word of Latin letters is a single piece
+    and goes straight to the merges. All else, and whole texts for a tokenizer of another form, go through the whole
+    tokenizer.
     """
 
     def __init__(self, path: str) -> None:
@@ -46,6 +72,7 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.by_word = falls_into_words(path)
         self.merge = self.tokenizer.model.tokenize
         self.bytes = byte_alphabet()
         self.pieces: dict[str, bytes] = {}
@@ -84,6 +111,8 @@ class WordIds(dict):
     def ids(self, text: str | None) -> bytes:
         if text is None:
             return b""
+        if not self.by_word:
+            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         return b"".join([self[w] for w in text.encode("utf-8", "replace").split()])
 
 

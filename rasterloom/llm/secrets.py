@@ -216,7 +216,10 @@ def scanned(docs: DataFrame, min_guesses: float = MIN_GUESSES) -> DataFrame:
 
 
 def redacted(docs: DataFrame, min_guesses: float = MIN_GUESSES) -> DataFrame:
-    """The rows of ``docs`` with every secret masked, all columns kept; n_chars, where it is there, follows the text."""
+    """The rows of ``docs`` with every secret masked, all columns kept; n_chars, where it is there, follows the text.
+
+    Null and empty texts stay as they are, as do repeated rows, rows without an id and an empty table.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sub_batches(batches, "text"):

@@ -246,6 +246,17 @@ def test_word_ids_are_the_tokenizers(text):
     assert packing.word_ids(packing.default_tokenizer()).ids(text) == struct.pack(f"<{len(ids)}I", *ids)
 
 
+def test_other_tokenizers_go_by_whole_texts():
+    """A tokenizer whose pieces hold white space or capitals is not taken for one of words."""
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    assert packing.falls_into_words(packing.default_tokenizer()) and not packing.falls_into_words(path)
+    for text in ("The quick  brown\n\nFox. Ünï 😀 don't", "", "  a  "):
+        ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+        assert packing.word_ids(path).ids(text) == struct.pack(f"<{len(ids)}I", *ids)
+
+
 def brute_secrets(text):
     text, out = text or "", []
     for m in re.finditer(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", text, re.I | re.A):
