@@ -167,6 +167,40 @@ def test_log_is_rewritten_in_order(spark, tmp_path):
     assert [r.filename for r in spark.read.csv(path, header=True).coalesce(1).collect()] == ["a", "b", "CRASH"]
 
 
+def field(number, value):
+    """One field of a protocol buffer: a whole number, or bytes."""
+    def varint(n):
+        out = b""
+        while n > 127:
+            out, n = out + bytes([n & 127 | 128]), n >> 7
+        return out + bytes([n])
+
+    if isinstance(value, int):
+        return varint(number << 3) + varint(value)
+    return varint(number << 3 | 2) + varint(len(value)) + value
+
+
+def doubling_model():
+    """A model file that repeats each pixel twice along both axes."""
+    value = lambda name: field(1, name) + field(2, field(1, field(1, 1) + field(2, b"".join(field(1, field(2, c)) for c in (b"n", b"c", b"h", b"w")))))
+    scales = field(1, 4) + field(2, 1) + field(8, b"scales") + field(9, np.array([1, 1, 2, 2], "<f4").tobytes())
+    text = lambda name, s: field(5, field(1, name) + field(4, s) + field(20, 3))
+    node = field(1, b"x") + field(1, b"") + field(1, b"scales") + field(2, b"y") + field(4, b"Resize")
+    node += text(b"mode", b"nearest") + text(b"coordinate_transformation_mode", b"asymmetric") + text(b"nearest_mode", b"floor")
+    graph = field(1, node) + field(2, b"g") + field(5, scales) + field(11, value(b"x")) + field(12, value(b"y"))
+    return field(1, 8) + field(8, field(1, b"") + field(2, 13)) + field(7, graph)
+
+
+def test_model_file_runs(spark, tmp_path):
+    path = str(tmp_path / "double.onnx")
+    with open(path, "wb") as file:
+        file.write(doubling_model())
+    image = np.random.default_rng(1).integers(0, 256, (150, 140, 3)).astype(np.uint8)
+    df = spark.createDataFrame([("a", 150, 140, 3, bytearray(image.tobytes()))], "path string, height int, width int, channels int, data binary")
+    row = tiles.superresolved(df, tiles.OnnxUpscaler(path)).first()
+    assert row.error is None and (np.frombuffer(row.data, np.uint8).reshape(300, 280, 3) == image.repeat(2, 0).repeat(2, 1)).all()
+
+
 def test_plain_model_file(spark, tmp_path):
     """An upscaler from a model file: a missing one fails its tiles, and the images with them, with the reason."""
     image = np.zeros((20, 30, 3), np.uint8)
