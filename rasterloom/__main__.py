@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -11,6 +10,7 @@ from pyspark.sql import SparkSession
 from rasterloom import config
 from rasterloom.operators import tiles
 from rasterloom.plans import job
+from rasterloom.sources import files as sources
 
 
 def main(arguments: list[str] | None = None) -> int:
@@ -19,6 +19,7 @@ def main(arguments: list[str] | None = None) -> int:
     parser.add_argument("output")
     parser.add_argument("--scale", type=int, choices=(2, 3, 4), default=2)
     parser.add_argument("--model", help="a model file for onnxruntime; without it pixels are interpolated")
+    parser.add_argument("--upscale-only", action="store_true", help="upscale the images right in the input folder, nothing else")
     parser.add_argument("--benchmark", action="store_true", help="time configurations only")
     parser.add_argument("--attempts", type=int, default=job.ATTEMPTS)
     parser.add_argument("--pause", type=float, default=job.PAUSE_S)
@@ -26,20 +27,26 @@ def main(arguments: list[str] | None = None) -> int:
     spark = SparkSession.builder.appName("rasterloom").getOrCreate()
     upscaler = tiles.OnnxUpscaler(options.model) if options.model else tiles.bicubic
     settings = config.Settings(options.scale)
+    if options.upscale_only:
+        failed = job.upscale(spark, options.input, options.output, upscaler, settings).where("error is not null").count()
+        return 1 if failed else 0
     best, log = f"{options.output}/best_configuration", f"{options.output}/benchmark_log"
-    if options.benchmark or not os.path.exists(best):
+    if options.benchmark or not sources.exists(spark, best):
         job.benchmark(spark, options.input, log, best, upscaler, settings)
     if options.benchmark:
         return 0
+    failures = f"{options.output}/processing_log"
     try:
-        totals = job.attempts(
-            lambda first: job.process(spark, options.input, options.output, f"{options.output}/processing_log", upscaler, settings, first),
-            options.attempts,
-            options.pause,
-        )
+        with job.progress(spark, lambda done, tasks: print(f"{done} of {tasks} tasks", file=sys.stderr)):
+            totals = job.attempts(
+                lambda first: job.process(spark, options.input, options.output, failures, upscaler, settings, first),
+                options.attempts,
+                options.pause,
+            )
     except KeyboardInterrupt:
         return 0
     except Exception as error:  # noqa: BLE001
+        job.log_crash(spark, options.input, failures, error)
         print(f"failed after {options.attempts} attempts: {error}", file=sys.stderr)
         return 1
     for r in totals.orderBy("parent").toLocalIterator():

@@ -189,6 +189,25 @@ def min_area_rect(points: np.ndarray) -> Rect:
     return Rect(float(centre[0]), float(centre[1]), float(w[k]), float(h[k]), float(np.degrees(np.arctan2(u[k, 1], u[k, 0])) % 180))
 
 
+def corners(rect: Rect) -> np.ndarray:
+    """The rectangle's four corners (x, y), in order."""
+    turn = np.radians(rect.angle)
+    u, v = np.array([np.cos(turn), np.sin(turn)]), np.array([-np.sin(turn), np.cos(turn)])
+    signs = ((-1, -1), (1, -1), (1, 1), (-1, 1))
+    return np.array([np.array([rect.cx, rect.cy]) + a * rect.w / 2 * u + b * rect.h / 2 * v for a, b in signs])
+
+
+def outlined(image: np.ndarray, rect: Rect, colour: tuple[int, int, int] = (0, 255, 0)) -> np.ndarray:
+    """A copy of the image with the rectangle's sides drawn; what lies beyond the image is left out."""
+    out, points = image.copy(), corners(rect)
+    for a, b in zip(points, np.roll(points, -1, 0), strict=True):
+        steps = int(np.abs(b - a).max()) + 2
+        x, y = np.rint(np.linspace(a, b, steps)).astype(int).T
+        inside = (x >= 0) & (y >= 0) & (x < image.shape[1]) & (y < image.shape[0])
+        out[y[inside], x[inside]] = colour
+    return out
+
+
 def ruler_rect(mask: np.ndarray, min_perimeter=config.MIN_PERIMETER, min_area=config.MIN_AREA) -> Rect | None:
     """The largest external component that is long enough, the first of equals."""
     best = None

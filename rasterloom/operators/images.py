@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from rasterloom import config
 from rasterloom.functions import kernels
-from rasterloom.schema import RECT
+from rasterloom.schema import IMAGE, RECT
 
 _RECT = pa.struct([(n, pa.float64()) for n in kernels.Rect._fields])
 
@@ -150,6 +150,23 @@ def outlines(images: DataFrame, level: int = config.GRAY_THRESHOLD) -> DataFrame
     return images.select("path", "height", "width", "channels", "data").mapInArrow(run, f"path string, perimeter double, area double, rect {RECT}")
 
 
+def overlays(images: DataFrame, kernel: Callable[[np.ndarray], kernels.Rect | None]) -> DataFrame:
+    """Images with the rectangle drawn that ``kernel`` finds in each; those without one stay as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for row in batch.to_pylist():
+                if row["data"] is not None:
+                    plain = pixels_of(row)
+                    rect = kernel(plain)
+                    row |= {"channels": 3, "data": (plain if rect is None else kernels.outlined(plain, rect)).tobytes()}
+                rows.append(row)
+            yield pa.RecordBatch.from_pylist(rows, batch.schema)
+
+    return images.select("path", "height", "width", "channels", "data").mapInArrow(run, IMAGE)
+
+
 def component_areas(masks: DataFrame, key: str, width: int) -> DataFrame:
     """(key, component, area) of the 8-connected components of row-major boolean masks; component is its first pixel."""
     kind = dict(masks.dtypes)[key]

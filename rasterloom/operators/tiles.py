@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import numpy as np
@@ -36,26 +36,32 @@ def bicubic(tile: np.ndarray, scale: int) -> np.ndarray:
 
 
 class OnnxUpscaler:
-    """A model file run by onnxruntime, on the GPU where there is one and opens; the session opens once for each Python worker."""
+    """A model file run by onnxruntime, on the GPU where there is one and opens; the session opens once for each Python worker.
+
+    ``decrypt``, which must be picklable, turns the bytes of a file that is not plain into those of the model.
+    """
 
     _sessions: dict = {}
 
-    def __init__(self, path: str) -> None:
-        self.path = path
+    def __init__(self, path: str, decrypt: Callable[[bytes], bytes] | None = None) -> None:
+        self.path, self.decrypt = path, decrypt
 
     def __call__(self, tile: np.ndarray, scale: int) -> np.ndarray:
         session = self._sessions.get(self.path)
         if session is None:
             import onnxruntime
 
+            with open(self.path, "rb") as file:
+                model = file.read()
+            model = self.decrypt(model) if self.decrypt else model
             plain = ["CPUExecutionProvider"]
             gpu = ["CUDAExecutionProvider"] if "CUDAExecutionProvider" in onnxruntime.get_available_providers() else []
             try:
-                session = onnxruntime.InferenceSession(self.path, providers=gpu + plain)
+                session = onnxruntime.InferenceSession(model, providers=gpu + plain)
             except Exception:
                 if not gpu:
                     raise
-                session = onnxruntime.InferenceSession(self.path, providers=plain)
+                session = onnxruntime.InferenceSession(model, providers=plain)
             self._sessions[self.path] = session
         fed = tile.transpose(2, 0, 1)[None].astype(np.float32)
         return session.run(None, {session.get_inputs()[0].name: fed})[0][0].transpose(1, 2, 0)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +33,15 @@ def process(spark: SparkSession, root: str, output: str, log: str, upscaler: til
     big, final = settings.outputs(output)
     done = _outputs(spark, final)
     result = pipeline.run(spark, root, done, upscaler, settings)
-    written = {}
+    written, scratch = {}, [result.scratch]
     for folder, images, step in ((big, result.upscaled, "super_resolution"), (final, result.images, "downscale")):
         parts = images.select("path", "relative_path", "ppi", "height", "width", "channels", "data", "error")
         made = sources.write_png(parts.where("data is not null"), folder, F.col("relative_path"), F.col("ppi"))
         none = {"path": F.lit(None).cast("string"), "bytes": F.lit(None).cast("long"), "error": F.coalesce("error", F.lit("no pixels"))}
         lost = parts.where("data is null").select(*(c.alias(n) for n, c in none.items()), F.col("path").alias("input"), "relative_path")
-        written[step] = _kept(spark, made.unionByName(lost))
+        scratch.append(f"{sources.shared_folder(spark)}/written-{uuid.uuid4().hex}")
+        made.unionByName(lost).write.parquet(scratch[-1])  # once, so that files are written once
+        written[step] = spark.read.parquet(scratch[-1])
     states = _states(spark, written, {"super_resolution": big, "downscale": final})
     failed = states.where("failed_step is not null").withColumn("now", F.current_timestamp())
     message = F.when(F.col("failed_step").startswith("validate"), F.concat(F.lit("Input image invalid: "), "error"))
@@ -48,20 +52,58 @@ def process(spark: SparkSession, root: str, output: str, log: str, upscaler: til
     late_by_folder = sources.with_path_parts(failed, "input").groupBy(F.col("parent").alias("__p")).agg(F.count("*").alias("late"))
     totals = result.totals.join(late_by_folder, F.col("parent") == F.col("__p"), "left")
     errors = F.col("errors") + F.coalesce("late", F.lit(0))
-    return totals.select("parent", "n", errors.alias("errors"), (F.col("n") - errors).alias("success"))
+    totals = totals.select("parent", "n", errors.alias("errors"), (F.col("n") - errors).alias("success"))
+    kept = f"{sources.shared_folder(spark)}/totals-{uuid.uuid4().hex}"
+    totals.write.parquet(kept)
+    for folder in scratch:
+        sources.remove(spark, folder)
+    return spark.read.parquet(kept)
 
 
-def _kept(spark: SparkSession, rows: DataFrame) -> DataFrame:
-    """Rows written once to the shared folder, so that their side effects happen once."""
-    folder = f"{sources.shared_folder(spark)}/written-{uuid.uuid4().hex}"
-    rows.write.parquet(folder)
-    return spark.read.parquet(folder)
+def upscale(spark: SparkSession, folder: str, output: str, upscaler: tiles.Upscaler = tiles.nearest, settings: config.Settings | None = None, ppi: int | None = None) -> DataFrame:
+    """Upscales the image files right in ``folder``, told by their suffix, to ``output``: page.png becomes page_x2.png.
+
+    A resolution that is given grows with the images. Returns the rows of :func:`write_png`; what fails has an error.
+    """
+    settings = settings or config.Settings()
+    own = sources.image_files(sources.files(spark, folder)).where(pipeline.relative(F.col("path"), folder) == F.col("name"))
+    images = sources.images(spark, folder).join(own.select("path"), "path", "left_semi").where("data is not null")
+    big = tiles.superresolved(images, upscaler, settings.scale, settings.tile, settings.overlap)
+    name = sources.scaled_name(F.element_at(F.split("path", "/"), -1), settings.scale)
+    grown = None if ppi is None else F.lit(ppi * settings.scale)
+    return sources.write_png(big.where("data is not null"), output, name, grown)
+
+
+def log_crash(spark: SparkSession, root: str, log: str, error: Exception) -> None:
+    """A crash's row in the failure log."""
+    row = spark.range(1).select(F.current_timestamp().alias("now"))
+    message = F.lit(f"Unexpected error with {root}: {error}")
+    logs.append_failures(rel.failure_rows(row, F.lit("CRASH"), message, F.lit(root), "now"), log)
+
+
+@contextmanager
+def progress(spark: SparkSession, report: Callable[[int, int], None], pause: float = 1.0) -> Iterator[None]:
+    """Reports finished and all tasks of the stages that run, at each pause, until the block ends."""
+    over = threading.Event()
+
+    def watch() -> None:
+        tracker = spark.sparkContext.statusTracker()
+        while not over.wait(pause):
+            found = [i for s in tracker.getActiveStageIds() if (i := tracker.getStageInfo(s))]
+            report(sum(i.numCompletedTasks for i in found), sum(i.numTasks for i in found))
+
+    watcher = threading.Thread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        yield
+    finally:
+        over.set()
+        watcher.join()
 
 
 def _outputs(spark: SparkSession, folder: str) -> DataFrame:
     """relative_path of the whole outputs below ``folder``, which need not be there."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    if not sources.exists(spark, folder):
         return spark.createDataFrame([], "relative_path string")
     found = sources.files(spark, folder).where(~F.col("name").endswith(".part"))
     return found.select(pipeline.relative(F.col("path"), folder).alias("relative_path"))
@@ -106,8 +148,7 @@ def attempts(run: Callable[[bool], DataFrame], most: int = ATTEMPTS, pause: floa
 def benchmark(spark: SparkSession, root: str, log: str, best: str, upscaler: tiles.Upscaler = tiles.nearest, settings: config.Settings | None = None) -> DataFrame:
     """Times each configuration that the log has not on the largest scans and writes the fastest; a process is a partition of tiles."""
     settings = settings or config.Settings()
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(log)
-    known = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+    known = sources.exists(spark, log)
     empty = spark.createDataFrame([], "timestamp timestamp_ntz, device string, processes int, threads int, total_time double, avg_time double")
     before = logs.read_benchmarks(spark, log) if known else empty
     largest = sources.files(spark, root).orderBy(F.desc("length"), "path").limit(TIMED_IMAGES).select("path")
@@ -122,7 +163,7 @@ def benchmark(spark: SparkSession, root: str, log: str, best: str, upscaler: til
 
     after = tuning.tune(spark, before, measure, ["CPU"])
     new = after.join(before.select(*tuning.KEYS), tuning.KEYS, "left_anti")
-    logs.append_benchmark(_kept(spark, new), log)
+    logs.append_benchmark(new, log)
     chosen = tuning.best(after.withColumn("__at", F.struct(*tuning.KEYS)), "__at")
     logs.write_best(chosen, best)
     return chosen

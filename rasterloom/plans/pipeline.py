@@ -34,12 +34,16 @@ def first_failure(passed: dict[str, Column]) -> Column:
 
 @dataclass(frozen=True)
 class Result:
-    """Images by path, relative_path and ppi: upscaled, and finished; failures are rows of the failure log."""
+    """Images by path, relative_path and ppi: upscaled, and finished; failures are rows of the failure log.
+
+    All are read from ``scratch``, a table in the shared folder, which may go once they were used.
+    """
 
     upscaled: DataFrame
     images: DataFrame
     failures: DataFrame
     totals: DataFrame
+    scratch: str
 
 
 def calibrations(spark: SparkSession) -> DataFrame:
@@ -57,12 +61,11 @@ def relative(path: Column, root: str) -> Column:
 _KEY = "path string, relative_path string, ppi int, target_height int, target_width int"
 
 
-def decoded(spark: SparkSession, roots: list[str]) -> DataFrame:
-    """(path, height, width, channels, data, ruler, page): the images below ``roots``, measured, as a table in the shared folder.
+def decoded(spark: SparkSession, roots: list[str], folder: str) -> DataFrame:
+    """(path, height, width, channels, data, ruler, page): the images below ``roots``, measured, as a table in ``folder``.
 
     Files are decoded here and nowhere else; measurements are read from the table without the pixels.
     """
-    folder = f"{sources.shared_folder(spark)}/decoded-{uuid.uuid4().hex}"
     images = sources.images(spark, roots)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +102,8 @@ def run(spark: SparkSession, root: str, done: DataFrame | None = None, upscaler:
         found = found.join(rel.pending(found, done, ["relative_path"]).select("parent").distinct(), "parent", "left_semi")
         folders = [r.parent for r in found.select("parent").distinct().limit(MAX_ROOTS + 1).collect()]
         roots = folders if len(folders) <= MAX_ROOTS else roots
-    table = decoded(spark, roots)
+    scratch = f"{sources.shared_folder(spark)}/decoded-{uuid.uuid4().hex}"
+    table = decoded(spark, roots, scratch)
     checked = sources.validated(found, table).where(F.col("valid") | ~sources.suffix(F.col("name")).isin(*config.DOCUMENT_SUFFIXES))
     checked = sources.explained(spark, root, checked)
     valid = checked.where("valid")
@@ -121,7 +125,7 @@ def run(spark: SparkSession, root: str, done: DataFrame | None = None, upscaler:
     big = tiles.superresolved(rows, upscaler, settings.scale, settings.tile, settings.overlap)
     big = big.withColumn("key", F.from_json("path", _KEY)).withColumns({"target_height": F.col("key.target_height"), "target_width": F.col("key.target_width")})
     totals = rel.failure_totals(todo, "parent", F.col("failure").isNotNull())
-    return Result(_named(big), _named(tiles.resized(big)), failures, totals)
+    return Result(_named(big), _named(tiles.resized(big)), failures, totals, scratch)
 
 
 def _named(images: DataFrame) -> DataFrame:

@@ -102,6 +102,17 @@ def shared_folder(spark: SparkSession) -> str:
     return tempfile.mkdtemp(prefix="rasterloom-")
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    """Deletes a folder and what it holds, where it is there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 #: First bytes of image files.
 _SIGNATURES = (b"\x89PNG\r\n\x1a\n", b"\xff\xd8\xff", b"II*\0", b"MM\0*", b"BM", b"GIF8")
 

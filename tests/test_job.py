@@ -1,6 +1,7 @@
 """The job over a folder tree: outputs, validation, log, resume, attempts, configurations, command line."""
 
 import os
+import time
 
 import numpy as np
 import pytest
@@ -112,6 +113,29 @@ def test_benchmark_and_command(spark, scans, tmp_path, monkeypatch):
     assert logs.read_best(spark, f"{out}/best_configuration").count() == 1
     assert sorted(os.listdir(f"{out}/downscaled_x2/a")) == ["p0.png", "p1.png", "p2.png", "z_ruler.png"]
     assert command.main([f"{scans}/none", out, "--pause", "0", "--attempts", "2"]) == 1
+    crash = logs.read_failures(spark, f"{out}/processing_log").where("filename = 'CRASH'").first()
+    assert crash.step == "CRASH" and crash.error.startswith(f"Unexpected error with {scans}/none") and crash.full_path is None
+    assert command.main([f"{scans}/a", f"{out}/big", "--upscale-only", "--scale", "3"]) == 0
+    assert sorted(os.listdir(f"{out}/big")) == ["p0_x3.png", "p1_x3.png", "p2_x3.png", "z_ruler_x3.png"]
+
+
+def test_progress_is_reported(spark):
+    seen = []
+    with job.progress(spark, lambda done, tasks: seen.append((done, tasks)), 0.05):
+        spark.sparkContext.parallelize(range(4), 4).map(lambda _: time.sleep(0.3)).count()
+    assert any(tasks == 4 for _, tasks in seen) and all(done <= tasks for done, tasks in seen)
+
+
+def test_overlays(spark):
+    image = drawn(100, 120, (60, 50, 60, 40), 220, 10)
+    df = spark.createDataFrame([("a", 100, 120, 3, bytearray(image.tobytes())), ("b", None, None, None, None)], "path string, height int, width int, channels int, data binary")
+    found = {r.path: r for r in image_operators.overlays(df, kernels.measure_page).collect()}
+    got = np.frombuffer(found["a"].data, np.uint8).reshape(100, 120, 3)
+    rect = kernels.measure_page(image)
+    changed = np.argwhere((got != image).any(-1))[:, ::-1]
+    assert found["b"].data is None and len(changed) > 100
+    assert (got[tuple(np.rint(kernels.corners(rect)).astype(int)[:, ::-1].T)] == (0, 255, 0)).all()
+    assert np.abs(changed - [rect.cx, rect.cy]).max() <= max(rect.w, rect.h) / 2 + 1
 
 
 class SparkSessionStub:
@@ -197,7 +221,12 @@ def test_model_file_runs(spark, tmp_path):
         file.write(doubling_model())
     image = np.random.default_rng(1).integers(0, 256, (150, 140, 3)).astype(np.uint8)
     df = spark.createDataFrame([("a", 150, 140, 3, bytearray(image.tobytes()))], "path string, height int, width int, channels int, data binary")
+    turned = str(tmp_path / "turned")
+    with open(turned, "wb") as file:
+        file.write(doubling_model()[::-1])
+    backwards = tiles.superresolved(df, tiles.OnnxUpscaler(turned, lambda data: data[::-1])).first()
     row = tiles.superresolved(df, tiles.OnnxUpscaler(path)).first()
+    assert backwards.data == row.data
     assert row.error is None and (np.frombuffer(row.data, np.uint8).reshape(300, 280, 3) == image.repeat(2, 0).repeat(2, 1)).all()
 
 
