@@ -8,6 +8,7 @@ of one length share a bucket, so a batch drawn from a bucket needs no padding an
 from __future__ import annotations
 
 import json
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,8 +22,8 @@ from rasterloom.llm.common import sub_batches, table
 
 LENGTH = 2048
 END_ID = 1
-#: Words that a Python worker remembers; the memory is emptied beyond it.
-CACHE = 250_000
+#: Words and pieces that a Python worker remembers; the memory is emptied beyond it.
+CACHE = 500_000
 SCHEMA = (
     "doc_id long, start long, length long, bucket int, ids binary, doc_tokens long, sequence_id long, offset long"
 )
@@ -59,6 +60,10 @@ def falls_into_words(path: str) -> bool:
     return found["normalizer"] == NORMALIZER and found["pre_tokenizer"] == PRE_TOKENIZER and all(len(t.split()) == 1 for t in added)
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordIds(dict):
     """White-space free UTF-8 words to their ids, packed as little-endian unsigned 32-bit numbers.
 
@@ -75,37 +80,46 @@ class WordIds(dict):
         self.by_word = falls_into_words(path)
         self.merge = self.tokenizer.model.tokenize
         self.bytes = byte_alphabet()
-        self.pieces: dict[str, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        core = text.rstrip(".,")
-        # Normalising can end a letter beyond these in a mark, which would go with the full stop.
-        if core != text and core and core[-1].isalnum() and core[-1] < "İ":
-            found = self.piece(core) + self.piece(text[len(core) :])
+        core = word.rstrip(b".,")
+        if core.isalpha():  # of bytes: Latin letters without marks
+            found = self.letters(core.lower())
+            if len(core) < len(word):
+                found += self[word[len(core) :]]
         else:
-            found = self.piece(text)
-        if len(self) >= CACHE:
-            self.clear()
-        if len(word) <= 64:
-            self[word] = found
-        return found
+            text = word.decode("utf-8", "replace")
+            core = text.rstrip(".,")
+            # Normalising can end a letter beyond these in a mark, which would go with the full stop.
+            if core != text and core and core[-1].isalnum() and core[-1] < "İ":
+                found = self.piece(core) + self.piece(text[len(core) :])
+            else:
+                found = self.piece(text)
+        return self.kept(word, found)
+
+    def letters(self, word: bytes) -> bytes:
+        """The ids of lower-cased letters a to z."""
+        found = self.get(word)
+        return self.kept(word, _packed([t.id for t in self.merge(word.decode())])) if found is None else found
 
     def piece(self, text: str) -> bytes:
         latin = text.isalpha() and max(text) < "Ā"
         key = text.lower() if latin else text
-        found = self.pieces.get(key)
+        found = self.get(key)
         if found is None:
             if latin:
-                mapped = key if key.isascii() else "".join([self.bytes[b] for b in key.encode()])
+                mapped = "".join([self.bytes[b] for b in key.encode()])
                 ids = [t.id for t in self.merge(mapped)]
             else:
                 ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = b"".join([i.to_bytes(4, "little") for i in ids])
-            if len(self.pieces) >= CACHE:
-                self.pieces.clear()
-            if len(key) <= 64:
-                self.pieces[key] = found
+            found = self.kept(key, _packed(ids))
+        return found
+
+    def kept(self, key: str | bytes, found: bytes) -> bytes:
+        if len(self) >= CACHE:
+            self.clear()
+        if len(key) <= 64:
+            self[key] = found
         return found
 
     def ids(self, text: str | None) -> bytes:
