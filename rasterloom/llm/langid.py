@@ -31,6 +31,8 @@ TOTAL_CHARS = 400_000
 LEAST_CHARS = 800
 LANE = 512
 LANES = 4096
+#: Bytes of text that are parsed at a time: they fill the lanes, and what is held of them stays small.
+BYTES = 2 << 20
 #: Lanes times languages that are parsed side by side.
 CELLS = 2_000_000
 #: Characters times languages whose phrases' beginnings are held at a time.
@@ -318,7 +320,7 @@ def predicted(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sub_batches(batches, "text"):
+        for batch in sub_batches(batches, "text", BYTES):
             ids = batch.column("doc_id").to_pylist()
             languages, scores = shared.value.predict(batch.column("text").to_pylist())
             held = pa.array([remainder(i, 3) == 1 for i in ids], pa.bool_())
@@ -340,7 +342,7 @@ def identified(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sub_batches(batches, "text"):
+        for batch in sub_batches(batches, "text", BYTES):
             languages, _ = shared.value.predict(batch.column("text").to_pylist())
             yield batch.filter(pa.array([x != UNKNOWN for x in languages], pa.bool_()))
 

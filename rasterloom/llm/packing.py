@@ -23,7 +23,7 @@ from rasterloom.llm.common import sub_batches, table
 LENGTH = 2048
 END_ID = 1
 #: Words and pieces that a Python worker remembers; the memory is emptied beyond it.
-CACHE = 500_000
+CACHE = 300_000
 SCHEMA = (
     "doc_id long, start long, length long, bucket int, ids binary, doc_tokens long, sequence_id long, offset long"
 )
