@@ -3,8 +3,8 @@
 A table projects unit vectors onto random orthonormal directions, eight to a block, scales them and finds the nearest
 point of the E8 lattice in each block; the points together name a cell. A vector owns its cell and visits those
 neighbouring cells, one lattice root away in one block, that are nearest to it; two vectors are candidates if one visits
-or shares the cell that the other owns in some table. The more vectors there are, the finer are the cells and the more
-tables there are (:func:`layout`), so that a vector meets few others by chance at any size. Cells without an owner and
+or shares the cell that the other owns in some table. Tables and cells are the same whatever the number of vectors
+(``LAYOUT``), so that whether two vectors link never depends on how many others there are. Cells without an owner and
 another vector are dropped before vectors are sent anywhere, and cells beyond ``CHUNK`` are dealt out as pairs of chunks.
 Inside, cosines are verified in double precision, and every link is counted in just one of the cells where its ends meet,
 so that a task gives one row of counts for each vector and a spanning forest of links, never all pairs.
@@ -41,18 +41,8 @@ class Layout(NamedTuple):
     scale: float
 
 
-#: Layouts by the number of vectors up to which they are used. A pair at cosine 0.951 meets with a probability of 0.997 or
-#: more in each; a vector meets 5 to 20 unrelated ones at the upper end (some 10^-6 of all in the last one).
-LAYOUTS = (
-    (1 << 14, Layout(9, 2, 3, 0.7)),
-    (1 << 18, Layout(12, 2, 3, 0.6)),
-    (1 << 21, Layout(16, 3, 4, 0.75)),
-    (None, Layout(18, 4, 6, 0.85)),
-)
-
-
-def layout(count: int) -> Layout:
-    return next(found for most, found in LAYOUTS if most is None or count <= most)
+#: A pair of 64 dimensions at cosine 0.951 meets with a probability of 0.9998; a vector meets some 10^-5 of all by chance.
+LAYOUT = Layout(20, 3, 5, 0.75)
 
 
 def roots() -> np.ndarray:
@@ -231,9 +221,8 @@ def _verified(part: _Part, dtype: str, cosine: float) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["vid", "links", "root"])
 
 
-def linked(vectors: DataFrame, dtype: str, cosine: float = COSINE, chunk: int = CHUNK, plan: Layout | None = None) -> tuple[DataFrame, DataFrame]:
+def linked(vectors: DataFrame, dtype: str, cosine: float = COSINE, chunk: int = CHUNK, plan: Layout = LAYOUT) -> tuple[DataFrame, DataFrame]:
     """Of distinct ``vectors`` (vid long, n long copies, embedding): (vid, links), copies counted, and edges (u, v)."""
-    plan = layout(vectors.count()) if plan is None else plan
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

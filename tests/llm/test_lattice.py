@@ -3,6 +3,7 @@
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from rasterloom.llm import lattice
@@ -70,6 +71,22 @@ def test_cells_beyond_a_chunk(spark, monkeypatch):
     assert {r.vid: r.links for r in counts.collect()} == want
 
 
+def test_links_do_not_depend_on_the_number_of_vectors(spark):
+    """The same links are found among 3000 close pairs, at the edge of the cosine, alone and beside 11,000 other vectors."""
+    rng = np.random.default_rng(6)
+    a, side, rest = (rng.standard_normal((n, 64)) for n in (3000, 3000, 11_000))
+    a, side = a / np.linalg.norm(a, axis=1)[:, None], side - (side * a).sum(1)[:, None] * a / (a * a).sum(1)[:, None]
+    b = 0.951 * a + np.sqrt(1 - 0.951**2) * side / np.linalg.norm(side, axis=1)[:, None]
+    every = np.concatenate((a, b, rest)).astype(np.float32)
+
+    def linked(count):
+        df = spark.createDataFrame(pa.table({"vid": np.arange(count), "n": np.ones(count, np.int64), "embedding": list(every[:count])}))
+        return {r.vid for r in lattice.linked(df, "<f4")[0].collect()}
+
+    alone = linked(6000)
+    assert linked(len(every)) == alone and len(alone) >= 5990
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert lattice.near_duplicates(df).count() == 0
