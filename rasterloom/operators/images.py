@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import hashlib
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -22,23 +23,48 @@ def pixels_of(row: dict) -> np.ndarray:
     return np.repeat(data, 3, 2) if row["channels"] == 1 else data[..., :3]
 
 
+#: Results of equal images that a task remembers.
+KEPT = 4096
+
+
+def _once(measure: Callable[[dict], tuple]) -> Callable[[dict], tuple]:
+    """``measure`` of an image row without its path, done once for equal images, as copies and blank pages are."""
+    known: dict[tuple, tuple] = {}
+
+    def run(row: dict) -> tuple:
+        if row["data"] is None:
+            return measure(row)
+        key = (row["height"], row["width"], row["channels"], hashlib.blake2b(row["data"], digest_size=32).digest())
+        found = known.get(key)
+        if found is None:
+            found = measure(row)
+            if len(known) >= KEPT:
+                known.clear()
+            known[key] = found
+        return found
+
+    return run
+
+
 def measured(images: DataFrame, kernel: Callable[[np.ndarray], kernels.Rect | None], name: str = "rect") -> DataFrame:
     """(path, ``name``, error) for each row of ``images`` (path, height, width, channels, data).
 
     The rectangle is null where nothing was found or the image is not valid; the error says which.
     """
 
+    def measure(row: dict) -> tuple:
+        if row["data"] is None:
+            return None, "[OPEN FAIL]"
+        try:
+            found = kernel(pixels_of(row))
+        except Exception as error:  # noqa: BLE001
+            return None, f"[UNEXPECTED] {error}"
+        return found and found._asdict(), None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = _once(measure)
         for batch in batches:
-            rects, errors = [], []
-            for row in batch.to_pylist():
-                try:
-                    found = kernel(pixels_of(row)) if row["data"] is not None else None
-                    errors.append(None if row["data"] is not None else "[OPEN FAIL]")
-                except Exception as error:  # noqa: BLE001
-                    found = None
-                    errors.append(f"[UNEXPECTED] {error}")
-                rects.append(found and found._asdict())
+            rects, errors = _columns(once, batch, 2)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("path"), pa.array(rects, _RECT), pa.array(errors, pa.string())], ["path", name, "error"]
             )
@@ -47,10 +73,16 @@ def measured(images: DataFrame, kernel: Callable[[np.ndarray], kernels.Rect | No
     return rows.mapInArrow(run, f"path string, {name} {RECT}, error string")
 
 
-def detected(images: DataFrame, template: np.ndarray) -> DataFrame:
+def _columns(measure: Callable[[dict], tuple], batch: pa.RecordBatch, width: int) -> list[list]:
+    """The ``width`` values that ``measure`` has for each row, by column."""
+    rows = [measure(row) for row in batch.to_pylist()]
+    return [list(c) for c in zip(*rows, strict=True)] if rows else [[] for _ in range(width)]
+
+
+def detected(images: DataFrame, template: np.ndarray, names: Sequence[str] = ("adaptive", "region", "multiscale", "by_gray")) -> DataFrame:
     """(path, adaptive, region, multiscale, by_gray, error): four ruler detectors side by side, null where one finds nothing.
 
-    A detector that fails leaves the others be; error says which failed and why, or that the image did not decode.
+    Where ``names`` has only some of them, the others do not run and have no column. A detector that fails leaves the others be; error says which failed and why, or that the image did not decode.
     """
     detectors = {
         "adaptive": kernels.detect_adaptive,
@@ -58,24 +90,27 @@ def detected(images: DataFrame, template: np.ndarray) -> DataFrame:
         "multiscale": lambda image: kernels.detect_multiscale(image, template),
         "by_gray": lambda image: kernels.detect_by_gray(image, template),
     }
+    detectors = {name: detectors[name] for name in names}
+
+    def measure(row: dict) -> tuple:
+        if row["data"] is None:
+            return *[None] * len(detectors), "[OPEN FAIL]"
+        found, failed = [], []
+        for name, kernel in detectors.items():
+            rect = None
+            try:
+                rect = kernel(pixels_of(row))
+            except Exception as error:  # noqa: BLE001
+                failed.append(f"[UNEXPECTED] {name}: {error}")
+            found.append(rect and rect._asdict())
+        return *found, "; ".join(failed) or None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = _once(measure)
         for batch in batches:
-            found: dict[str, list] = {name: [] for name in detectors}
-            errors = []
-            for row in batch.to_pylist():
-                failed = [] if row["data"] is not None else ["[OPEN FAIL]"]
-                for name, kernel in detectors.items():
-                    rect = None
-                    if row["data"] is not None:
-                        try:
-                            rect = kernel(pixels_of(row))
-                        except Exception as error:  # noqa: BLE001
-                            failed.append(f"[UNEXPECTED] {name}: {error}")
-                    found[name].append(rect and rect._asdict())
-                errors.append("; ".join(failed) or None)
-            columns = [pa.array(v, _RECT) for v in found.values()]
-            yield pa.RecordBatch.from_arrays([batch.column("path"), *columns, pa.array(errors, pa.string())], ["path", *found, "error"])
+            *found, errors = _columns(once, batch, len(detectors) + 1)
+            columns = [pa.array(v, _RECT) for v in found]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), *columns, pa.array(errors, pa.string())], ["path", *detectors, "error"])
 
     schema = "path string, " + ", ".join(f"{n} {RECT}" for n in detectors) + ", error string"
     return images.select("path", "height", "width", "channels", "data").mapInArrow(run, schema)
@@ -133,17 +168,19 @@ def to_bgr(gray: np.ndarray) -> np.ndarray:
 def outlines(images: DataFrame, level: int = config.GRAY_THRESHOLD) -> DataFrame:
     """(path, perimeter, area, rect) of the largest component brighter than ``level``; nulls where there is none."""
 
+    def measure(row: dict) -> tuple:
+        found = []
+        if row["data"] is not None:
+            found = [kernels.contour(r) for r in kernels.regions(kernels.gray(pixels_of(row)) > level)]
+        if not found:
+            return None, None, None
+        points = max(found, key=kernels.area)
+        return kernels.perimeter(points), kernels.area(points), kernels.min_area_rect(points)._asdict()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        once = _once(measure)
         for batch in batches:
-            rows: tuple[list, list, list] = ([], [], [])
-            for row in batch.to_pylist():
-                found = []
-                if row["data"] is not None:
-                    found = [kernels.contour(r) for r in kernels.regions(kernels.gray(pixels_of(row)) > level)]
-                points = max(found, key=kernels.area) if found else None
-                rows[0].append(None if points is None else kernels.perimeter(points))
-                rows[1].append(None if points is None else kernels.area(points))
-                rows[2].append(None if points is None else kernels.min_area_rect(points)._asdict())
+            rows = _columns(once, batch, 3)
             columns = [pa.array(rows[0], pa.float64()), pa.array(rows[1], pa.float64()), pa.array(rows[2], _RECT)]
             yield pa.RecordBatch.from_arrays([batch.column("path"), *columns], ["path", "perimeter", "area", "rect"])
 

@@ -651,18 +651,31 @@ def lanczos_resize(spark, sf_dir):
 
 
 def _drawn(spark, sf_dir, draw) -> DataFrame:
-    """An image row for each part, made by ``draw`` (p_partkey, p_size), a gray array."""
+    """An image row for each part, made by ``draw`` (p_partkey, p_size), a gray array.
+
+    Parts are few bytes and come in few files, their images are many: they are dealt out before they are drawn.
+    """
     import numpy as np
     import pyarrow as pa
 
+    kinds = [pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+    names = ["path", "height", "width", "channels", "data"]
+
     def run(batches):
         for batch in batches:
-            for key, size in zip(batch.column("p_partkey").to_pylist(), batch.column("p_size").to_pylist(), strict=True):
-                image = np.repeat(draw(key, size)[..., None], 3, 2).astype(np.uint8)
-                row = {"path": str(key), "height": image.shape[0], "width": image.shape[1], "channels": 3, "data": image.tobytes()}
-                yield pa.RecordBatch.from_pylist([row], pa.schema([("path", pa.string()), *[(n, pa.int32()) for n in ("height", "width", "channels")], ("data", pa.binary())]))
+            for at in range(0, batch.num_rows, _DRAWN_ROWS):
+                rows = []
+                for part in batch.slice(at, _DRAWN_ROWS).to_pylist():
+                    image = draw(part["p_partkey"], part["p_size"]).astype(np.uint8)
+                    rows.append((str(part["p_partkey"]), *image.shape, 3, np.repeat(image, 3).tobytes()))
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    parts = _t(spark, sf_dir, "part").select("p_partkey", "p_size")
+    return parts.repartition(4 * spark.sparkContext.defaultParallelism).mapInArrow(run, schema.IMAGE)
+
 
-    return _t(spark, sf_dir, "part").select("p_partkey", "p_size").mapInArrow(run, schema.IMAGE)
+#: Images drawn at a time, some tens of kilobytes each.
+_DRAWN_ROWS = 64
 
 
 def _rectangle(key: int, size: int):
