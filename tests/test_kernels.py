@@ -156,3 +156,9 @@ def test_settings():
         config.Settings(tile=4, overlap=4)
     with pytest.raises(ValueError):
         kernels.pad(np.zeros((3, 3), np.uint8), 4)
+
+
+def test_a_single_component_needs_no_search_for_holes(monkeypatch):
+    monkeypatch.setattr(kernels, "_outer", lambda *_: pytest.fail("the ground was searched"))
+    image = drawn(90, 80, (40, 45, 30, 60), 200)
+    assert kernels.measure_page(image) == kernels.Rect(40.0, 45.0, 30.0, 60.0, 0.0)
