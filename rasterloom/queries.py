@@ -728,7 +728,7 @@ def _ruler_template():
 def _detected(spark, sf_dir, detector: str, draw) -> DataFrame:
     from rasterloom.operators.images import detected
 
-    found = detected(_drawn(spark, sf_dir, draw), _ruler_template())
+    found = detected(_drawn(spark, sf_dir, draw), _ruler_template(), [detector])
     rect = F.col(detector)
     columns = {"cx": rect["cx"], "cy": rect["cy"], "long_px": F.greatest(rect["w"], rect["h"]), "short_px": F.least(rect["w"], rect["h"])}
     return found.select(F.col("path").cast("long").alias("p_partkey"), *(F.round(c, 6).alias(n) for n, c in columns.items()))

@@ -32,3 +32,11 @@ def test_equal_images_are_measured_once():
     rows = [{"path": p, "height": h, "width": 2, "channels": 1, "data": d} for p, h, d in (("a", 1, b"xy"), ("b", 1, b"xy"), ("c", 1, b"xz"), ("d", 2, b"xy"))]
     assert [once(r)[1] for r in rows] == [1, 1, 1, 2] and seen == ["a", "c", "d"]
     assert [once(r | {"data": None})[1] for r in rows[:2]] == [1, 1] and seen == ["a", "c", "d", "a", "b"]
+
+
+def test_only_the_named_detectors_run(spark):
+    from rasterloom import queries
+    from rasterloom.operators import images
+
+    found = images.detected(queries._drawn(spark, SF, queries._flat), queries._ruler_template(), ["adaptive"])
+    assert found.columns == ["path", "adaptive", "error"] and found.where("error is null").count() == found.count()
