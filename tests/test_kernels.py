@@ -162,3 +162,38 @@ def test_a_single_component_needs_no_search_for_holes(monkeypatch):
     monkeypatch.setattr(kernels, "_outer", lambda *_: pytest.fail("the ground was searched"))
     image = drawn(90, 80, (40, 45, 30, 60), 200)
     assert kernels.measure_page(image) == kernels.Rect(40.0, 45.0, 30.0, 60.0, 0.0)
+
+
+@pytest.fixture
+def transforms(monkeypatch):
+    """The shapes of the transforms made from now on."""
+    found, plain = [], np.fft.rfft2
+    monkeypatch.setattr(np.fft, "rfft2", lambda a, s: (found.append(tuple(s)), plain(a, s))[1])
+    return found
+
+
+def test_scales_share_the_transform_of_the_image(transforms):
+    image, template = scene()
+    first = kernels.detect_multiscale(image, template)
+    transforms.clear()
+    assert kernels.detect_multiscale(image, template) == first and len(transforms) <= 1 + 5
+    small = kernels.resize(image, (75, 105)), kernels.resize(template[..., None], (17, 65), "area")[..., 0]
+    kernels.detect_multiscale(*small)
+    transforms.clear()
+    kernels.detect_multiscale(*small)
+    assert len(transforms) == 1
+
+
+def test_the_transform_of_a_template_is_kept(transforms):
+    image = np.random.default_rng(2).integers(0, 256, (60, 140, 3)).astype(np.uint8)
+    template = kernels.gray(image)[20:40, 30:110].copy()
+    kernels.detect_in_region(image, template)
+    transforms.clear()
+    kernels.detect_in_region(image, template)
+    assert len(transforms) == 1
+
+
+def test_transforms_are_hardly_larger_than_the_image(transforms):
+    image, template = scene()
+    kernels.detect_by_gray(image, template)
+    assert transforms and all(a <= 1.2 * b for s in transforms for a, b in zip(s, image.shape))
