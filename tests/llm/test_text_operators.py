@@ -758,6 +758,22 @@ def test_toxicity_learns_rare_words(spark):
     assert len(model.odds) < 20
 
 
+def test_toxicity_counts_all_labelled_texts(spark, monkeypatch):
+    """No sample: the share of toxic texts and the odds of a word are those of all texts that are not held out."""
+    monkeypatch.setattr(toxicity, "MAX_LABELLED", 100, raising=False)
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:04}")
+    rows = [(i, f"one{word(i)} two{word(i)} {'vile' if i % 5 == 0 and i % 3 else 'fine'}", "en", "a") for i in range(1200)]
+    rows += [(5000, "vile", "en", "a"), (5001, None, "en", "a"), (None, "vile vile", "en", "a")]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(1200)] + [(5001, 1), (None, 1), (7000, 1)], "doc_id long, toxic int")
+    model = toxicity.fit(frame(spark, rows), labels)
+    seen = [i for i in range(1200) if zlib.crc32(str(i).encode()) % 3 != 1]
+    bad, vile = sum(i % 5 == 0 for i in seen), sum(i % 5 == 0 and i % 3 > 0 for i in seen)
+    base = (bad + 1) / (len(seen) + 2)
+    assert model.prior == pytest.approx(math.log(base / (1 - base)))
+    prior_weight = toxicity.PRIOR_WEIGHT
+    assert model.odds["vile"] == pytest.approx(math.log((vile + prior_weight * base) / (prior_weight * (1 - base))) - model.prior)
+
+
 def test_toxicity_restores_long_tokens():
     bad = ("idiot", "moron", "loser", "scum", "stupid")
     common = {w: 50 for w in "some clean words here and there with other letters to learn from".split()}
