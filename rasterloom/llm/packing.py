@@ -22,6 +22,8 @@ from rasterloom.llm.common import sub_batches, table
 
 LENGTH = 2048
 END_ID = 1
+#: Bytes of text whose pieces are held at a time.
+BYTES = 1 << 20
 #: Words and pieces that a Python worker remembers; the memory is emptied beyond it.
 CACHE = 300_000
 SCHEMA = (
@@ -167,7 +169,7 @@ def packed(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int =
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table_ids, number = word_ids(tokenizer), TaskContext.get().partitionId() << 40
-        for batch in sub_batches(batches, "text"):
+        for batch in sub_batches(batches, "text", BYTES):
             out: list[list] = [[] for _ in names]
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 ids = table_ids.ids(text) + end

@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+import pyarrow as pa
+
 import corpus_pipeline
 from rasterloom.llm import langid, mixing, packing, secrets, simhash
 
@@ -43,3 +45,22 @@ def test_registered():
 
     found = __spark_entry__.queries()
     assert "pipeline" in found and all(any(n.startswith(f"op{k}_") for n in found) for k in range(1, 11))
+
+
+def test_stages_use_small_batches(spark):
+    """Whole texts reach Python by few megabytes at a time in every stage; a whole run leaves the session as it was."""
+    before = {key: spark.conf.get(key) for key in corpus_pipeline.BATCHES}
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = docs.selectExpr("repeat('x', 3000) as text").crossJoin(spark.range(100)).coalesce(1)
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            for key, value in before.items():
+                spark.conf.set(key, value)
+            stage(spark, docs, "/root/testdata/sf0.001")
+            found = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long")
+            assert found.agg({"n": "max"}).first()[0] < 7 << 20
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    corpus_pipeline.run(spark, "/root/testdata/sf0.001")
+    assert {key: spark.conf.get(key) for key in before} == before
