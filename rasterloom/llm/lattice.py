@@ -13,6 +13,7 @@ so that a task gives one row of counts for each vector and a spanning forest of
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 from typing import NamedTuple
 
@@ -30,6 +31,8 @@ CHUNK = 1024
 SEED = 11
 #: Rows of a large cell that are compared at a time, the size up to which cells are compared side by side, and pairs at a time.
 _ROWS, _SMALL, _PAIRS = 256, 48, 1 << 15
+#: Vectors that a task sends to their cells at most, and cells that are dealt out at a time: of more vectors, a few tables each.
+_VECTORS, _CELLS = 1 << 14, 1 << 23
 
 
 class Layout(NamedTuple):
@@ -222,7 +225,15 @@ def _verified(part: _Part, dtype: str, cosine: float) -> pa.RecordBatch:
 
 
 def linked(vectors: DataFrame, dtype: str, cosine: float = COSINE, chunk: int = CHUNK, plan: Layout = LAYOUT) -> tuple[DataFrame, DataFrame]:
-    """Of distinct ``vectors`` (vid long, n long copies, embedding): (vid, links), copies counted, and edges (u, v)."""
+    """Of distinct ``vectors`` (vid long, n long copies, embedding): (vid, links), copies counted, and edges (u, v).
+
+    Spark takes exploded cells for as small as their vectors, so no join here is left to its choice of a broadcast. What
+    a task holds of the cells it counts does not grow with the vectors; all tables are compared, in one pass or several.
+    """
+    total, width = vectors.count(), 1 + plan.probes
+    if total > _VECTORS * vectors.rdd.getNumPartitions():
+        vectors = vectors.repartition(-(-total // _VECTORS), "vid")
+    tables = max(1, min(plan.tables, _CELLS // max(1, total * width)))
 
     def key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,16 +252,22 @@ def linked(vectors: DataFrame, dtype: str, cosine: float = COSINE, chunk: int =
     schema = "vid long, n long, raw binary, keys array<long>, own array<long>"
     keyed = checkpointed(vectors.select("vid", "n", "embedding").mapInArrow(key, schema))
     mark = lambda owner: lambda c: F.struct(c.alias("cell"), F.lit(owner).alias("owner"))
-    marked = F.concat(F.transform(F.array_distinct("own"), mark(True)), F.transform(F.array_except("keys", "own"), mark(False)))
-    entries = keyed.select("vid", F.inline(marked))
-    shared = entries.groupBy("cell").agg(F.count("*").alias("size"), F.count_if("owner").alias("owners"))
-    shared = shared.where("size > 1 and owners > 0")
-    shared = shared.select("cell", F.ceil(F.col("size") / chunk).cast("int").alias("chunks"))
-    side = F.pmod(F.xxhash64("vid"), F.col("chunks").cast("long")).cast("int").alias("side")
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
-    dealt = entries.join(shared, "cell").select("vid", "cell", "owner", side, other)
-    dealt = dealt.select("vid", "cell", "owner", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
-    dealt = dealt.join(keyed.drop("own"), "vid").repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
+
+    def dealt(first: int) -> DataFrame:
+        own, keys = F.slice("own", first + 1, tables), F.slice("keys", first * width + 1, tables * width)
+        marked = F.concat(F.transform(F.array_distinct(own), mark(True)), F.transform(F.array_except(keys, own), mark(False)))
+        entries = keyed.select("vid", F.inline(marked))
+        shared = entries.groupBy("cell").agg(F.count("*").alias("size"), F.count_if("owner").alias("owners"))
+        shared = shared.where("size > 1 and owners > 0")
+        shared = shared.select("cell", F.ceil(F.col("size") / chunk).cast("int").alias("chunks"))
+        side = F.pmod(F.xxhash64("vid"), F.col("chunks").cast("long")).cast("int").alias("side")
+        other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other")
+        rows = entries.join(shared.hint("merge"), "cell").select("vid", "cell", "owner", side, other)
+        return rows.select("vid", "cell", "owner", "side", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"))
+
+    rows = reduce(DataFrame.union, [checkpointed(dealt(first)) for first in range(0, plan.tables, tables)])
+    rows = rows.join(keyed.drop("own").hint("merge"), "vid")
+    rows = rows.repartition("cell", "low", "high").sortWithinPartitions("cell", "low", "high")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: _Part | None = None
@@ -266,7 +283,7 @@ def linked(vectors: DataFrame, dtype: str, cosine: float = COSINE, chunk: int =
         if held is not None:
             yield _verified(held, dtype, cosine)
 
-    results = checkpointed(dealt.mapInArrow(verify, "vid long, links long, root long"))
+    results = checkpointed(rows.mapInArrow(verify, "vid long, links long, root long"))
     return results.groupBy("vid").agg(F.sum("links").alias("links")), results.select(F.col("vid").alias("u"), F.col("root").alias("v"))
 
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from rasterloom.llm import lattice
+from rasterloom.llm import common, lattice
 
 
 def test_roots_and_decoding():
@@ -87,6 +87,29 @@ def test_links_do_not_depend_on_the_number_of_vectors(spark):
     assert linked(len(every)) == alone and len(alone) >= 5990
 
 
+def test_tasks_of_many_vectors(spark, monkeypatch):
+    """Many vectors are keyed by more tasks, their cells dealt out a table at a time and never broadcast; all links are found."""
+    rng = np.random.default_rng(7)
+    centre = rng.standard_normal(64)
+    near = [centre + 0.1 * rng.standard_normal(64) for _ in range(60)]
+    rows = [(i, v.astype(np.float32).astype(float).tolist()) for i, v in enumerate([*near, *rng.standard_normal((340, 64))])]
+    plans, tasks = [], []
+
+    def checkpointed(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        out = common.checkpointed(df)
+        tasks.append(out.rdd.getNumPartitions() if "keys" in out.columns else 0)
+        return out
+
+    monkeypatch.setattr(lattice, "checkpointed", checkpointed)
+    monkeypatch.setattr(lattice, "_VECTORS", 16, raising=False)
+    monkeypatch.setattr(lattice, "_CELLS", 5000, raising=False)
+    df = spark.createDataFrame(rows, "vid long, embedding array<float>").selectExpr("vid", "1L as n", "embedding")
+    found = {r.vid: r.links for r in lattice.linked(df, "<f4")[0].collect()}
+    assert found == {i: n for i, n, *_ in brute(rows) if n}
+    assert max(tasks) == 25 and len(plans) == 1 + 10 + 1 and not any("BroadcastHashJoin" in p for p in plans)
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert lattice.near_duplicates(df).count() == 0
