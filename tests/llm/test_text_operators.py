@@ -6,7 +6,7 @@ import random
 import re
 import struct
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import pytest
 import xxhash
@@ -774,6 +774,32 @@ def test_toxicity_counts_all_labelled_texts(spark, monkeypatch):
     assert model.odds["vile"] == pytest.approx(math.log((vile + prior_weight * base) / (prior_weight * (1 - base))) - model.prior)
 
 
+def test_toxicity_counts_words_of_all_copies(spark, monkeypatch):
+    """No text and no word is left out: near copies give the words of each of them, once, and no number of words ends a model."""
+    for name, limit in (("MAX_LM_WORDS", 20), ("MAX_LEXICON", 2), ("_HELD", 100)):
+        monkeypatch.setattr(toxicity, name, limit, raising=False)
+    word = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:05}")
+    own = [f"vile{c}" for c in "abcd"]
+    rows = [(10 * g + k, " ".join([*(word(30 * g + j) for j in range(30)), *(own[k : k + 1] if g % 3 == 0 else ["fine"])]), "en", "a") for g in range(200) for k in range(4)]
+    labels = spark.createDataFrame([(i, int(i // 10 % 3 == 0)) for i, *_ in rows], "doc_id long, toxic int")
+    model = toxicity.fit(frame(spark, rows), labels)
+
+    groups = defaultdict(set)
+    for i, text, *_ in rows:
+        if zlib.crc32(str(i).encode()) % 3 != 1:
+            parts = text.split()
+            copy = min(xxhash.xxh64_intdigest(" ".join(parts[j : j + 5])) for j in range(len(parts) - 4))
+            groups[i // 10 % 3 == 0, copy].update(parts)
+    n = Counter(w for words in groups.values() for w in words)
+    bad = sum(toxic for toxic, _ in groups)
+    base = (bad + 1) / (len(groups) + 2)
+    assert set(model.odds) == set(own) and model.prior == pytest.approx(math.log(base / (1 - base)))
+    weight = toxicity.PRIOR_WEIGHT
+    assert all(model.odds[w] == pytest.approx(math.log((n[w] + weight * base) / (weight * (1 - base))) - model.prior) for w in own)
+    boost = sum(n.values()) // len(own)
+    assert model.characters.counts == toxicity.CharacterModel({w: c + boost * (w in own) for w, c in n.items()}).counts
+
+
 def test_toxicity_restores_long_tokens():
     bad = ("idiot", "moron", "loser", "scum", "stupid")
     common = {w: 50 for w in "some clean words here and there with other letters to learn from".split()}
