@@ -31,7 +31,7 @@ CHUNK = 1024
 SEED = 11
 #: Rows of a large cell that are compared at a time, the size up to which cells are compared side by side, and pairs at a time.
 _ROWS, _SMALL, _PAIRS = 256, 48, 1 << 15
-#: Vectors that a task sends to their cells at most, and cells that are dealt out at a time: of more vectors, a few tables each.
+#: Vectors that a task sends to their cells, about, and cells that are dealt out at a time: a few tables, but one at least.
 _VECTORS, _CELLS = 1 << 14, 1 << 23
 
 
@@ -227,8 +227,8 @@ def _verified(part: _Part, dtype: str, cosine: float) -> pa.RecordBatch:
 def linked(vectors: DataFrame, dtype: str, cosine: float = COSINE, chunk: int = CHUNK, plan: Layout = LAYOUT) -> tuple[DataFrame, DataFrame]:
     """Of distinct ``vectors`` (vid long, n long copies, embedding): (vid, links), copies counted, and edges (u, v).
 
-    Spark takes exploded cells for as small as their vectors, so no join here is left to its choice of a broadcast. What
-    a task holds of the cells it counts does not grow with the vectors; all tables are compared, in one pass or several.
+    Spark takes exploded cells for as small as their vectors, so no join here is left to its choice of a broadcast. Many
+    vectors are keyed by more tasks, and their cells counted in several passes of a few tables, or one; none is left out.
     """
     total, width = vectors.count(), 1 + plan.probes
     if total > _VECTORS * vectors.rdd.getNumPartitions():

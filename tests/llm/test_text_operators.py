@@ -776,7 +776,7 @@ def test_toxicity_counts_all_labelled_texts(spark, monkeypatch):
 
 def test_toxicity_counts_words_of_all_copies(spark, monkeypatch):
     """No text and no word is left out: near copies give the words of each of them, once, and no number of words ends a model."""
-    for name, limit in (("MAX_LM_WORDS", 20), ("MAX_LEXICON", 2), ("_HELD", 100)):
+    for name, limit in (("MAX_LM_WORDS", 20), ("MAX_LEXICON", 2), ("_HELD", 100), ("_UNITED", 100)):
         monkeypatch.setattr(toxicity, name, limit, raising=False)
     word = lambda i: "".join("abcdefghij"[int(c)] for c in f"{i:05}")
     own = [f"vile{c}" for c in "abcd"]
